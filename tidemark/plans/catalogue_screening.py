@@ -354,7 +354,7 @@ def pit_gate_asof(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(
     "pit_per_security",
-    """WITH held AS (SELECT l_suppkey, year(l_shipdate)::INT AS y, max(l_shipdate::DATE) AS av, sum(round(l_quantity)::BIGINT) AS qty FROM lineitem GROUP BY 1, 2)
+    """WITH held AS (SELECT l_suppkey, year(l_shipdate)::INT AS y, max(l_shipdate::DATE) AS av, sum(round(l_quantity)::BIGINT)::BIGINT AS qty FROM lineitem GROUP BY 1, 2)
 SELECT s_suppkey, CAST(av AS VARCHAR) AS available_from, y AS fact_year, qty FROM supplier JOIN held ON l_suppkey = s_suppkey
 WHERE av <= (DATE '1996-12-31' + (s_suppkey % 5)::INT * INTERVAL 1 YEAR)::DATE
 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY y DESC) = 1""",
