@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.decontamination import find_passages
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +36,71 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"))
+
+
+#: Words of a text as the contract has them, in DuckDB.
+_SQL_WORDS = r"regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op2_decontamination",
+    f"""WITH d AS (SELECT doc_id, {_SQL_WORDS.format(t="coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_SQL_WORDS.format(t="coalesce(text, '')")} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k)),
+m AS (SELECT doc_id, item_id, i, dw.k FROM dw JOIN bw ON dw.win = bw.win AND dw.k = bw.k),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM m) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+)
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query(
+    "op5_line_dedup",
+    r"""WITH l AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+k AS (SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+hot AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE hot.key IS NOT NULL)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE hot.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN hot ON k.key = hot.key GROUP BY doc_id""",
+)
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+#: The rules of the query.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query("op3_url_filter")
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), URL_RULES)
