@@ -89,7 +89,7 @@ def place(cut: DataFrame, capacity: int) -> DataFrame:
         sequences += times
     lookup = spark.sparkContext.broadcast({s: np.array(r, dtype=np.int64).T for s, r in runs.items()})
 
-    salts = max(1, -(-int(demand.max()) // RANKED_TOGETHER))
+    salts = max(shuffle_partitions(spark), -(-int(demand.max()) // RANKED_TOGETHER))
     salted = sized.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)))
     before = Window.partitionBy("_size").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = (
