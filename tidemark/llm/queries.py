@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import find_passages
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import judge_urls
@@ -104,3 +105,22 @@ URL_RULES = [
 @query("op3_url_filter")
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+@query(
+    "op8_near_dedup",
+    r"""WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(3, len(w)) - 1), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY 1)
+SELECT t.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, t.doc_id = component_id AS kept
+FROM t LEFT JOIN n USING (doc_id) JOIN c ON c.node = t.doc_id""",
+)
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), width=3, similarity=(85, 100))
