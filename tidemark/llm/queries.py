@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import find_passages
+from tidemark.llm.language_id import identify
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
@@ -124,3 +125,9 @@ FROM t LEFT JOIN n USING (doc_id) JOIN c ON c.node = t.doc_id""",
 )
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), width=3, similarity=(85, 100))
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
