@@ -1,14 +1,14 @@
 """Near-duplicate documents by a multi-index Hamming join of b-bit MinHash signatures.
 
 A document's set is its distinct word shingles as 64-bit hashes. Documents of one set are
-a class, and only its smallest document goes on. A signature has ``CHUNKS * LENGTH``
-positions of 16 bits. If two signatures differ in at most ``THRESHOLD = 2 * CHUNKS - 1``
-positions, some chunk differs in at most one (pigeonhole), so enumerating the one error a
-chunk may have, a key for each position left out, brings every such pair into a bucket. At
-a similarity of 0.85 a pair differs in 9.75 of 65 positions on average and in more than 25
-with a probability near one in a million.
-
-Buckets are closed under "signatures at most ``THRESHOLD`` apart" and give spanning links,
+a class, and only its smallest document goes on. A signature has ``chunks * LENGTH``
+positions of 16 bits. If two signatures differ in fewer than ``2 * chunks`` positions,
+some chunk differs in at most one (pigeonhole), so enumerating the one error a chunk may
+have, a key for each position left out, brings every such pair into a bucket. ``chunks``
+is the smallest number at which a pair of just the asked similarity differs in more
+positions with a probability under ``MISSED``: 11 for 0.85 and 19 for 0.8.
+
+Buckets are closed under "signatures fewer than ``2 * chunks`` apart" and give spanning links,
 not pairs; the components of these links hold every candidate pair. In each component the
 full sets decide: members are compared with one hub at a time, the member nearest to the
 component's common signature first, and whoever is not yet in the hub's class is compared
@@ -24,6 +24,7 @@ key of a document; extra columns are left out. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +35,29 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_batch, slices, text_bytes, written
 from tidemark.llm.components import connected
 
-CHUNKS, LENGTH = 13, 5
-POSITIONS = CHUNKS * LENGTH
-THRESHOLD = 2 * CHUNKS - 1
+#: Positions in a chunk.
+LENGTH = 5
+MISSED = 1e-5
 #: Members of a bucket, and shingles of a component, that are held in one group.
 BUCKET_MEMBERS = 40_000
 COMPONENT_SHINGLES = 4_000_000
 
 _MIX_1, _MIX_2, _MIX_3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-_ODD = np.random.default_rng(20).integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(20).integers(1, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x5851F42D4C957F2D
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
+def chunks_for(similarity: float) -> int:
+    """Chunks at which a pair of this similarity is missed with a probability under ``MISSED``."""
+    p = 1 - similarity
+    for chunks in range(2, len(_ODD) // LENGTH):
+        n = chunks * LENGTH
+        if sum(comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(2 * chunks, n + 1)) < MISSED:
+            return chunks
+    raise ValueError(f"similarity too low for this index: {similarity}")
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -95,16 +106,16 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return sets
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    """The low 16 bits of the smallest value of each of ``POSITIONS`` hashes of the set."""
-    least = np.full(POSITIONS, np.uint64(0xFFFFFFFFFFFFFFFF))
+def signature(shingles: np.ndarray, positions: int) -> bytes:
+    """16 bits of the smallest value of each of ``positions`` hashes of the set."""
+    least = np.full(positions, np.uint64(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(shingles), 4096):
         part = shingles[at : at + 4096]
-        least = np.minimum(least, (_mixed(part ^ _MIX_2)[None, :] * _ODD[:, None]).min(axis=1))
+        least = np.minimum(least, (_mixed(part ^ _MIX_2)[None, :] * _ODD[:positions, None]).min(axis=1))
     return (_mixed(least) & np.uint64(0xFFFF)).astype("<u2").tobytes()
 
 
-def _signatures(docs: DataFrame, width: int) -> DataFrame:
+def _signatures(docs: DataFrame, width: int, positions: int) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.binary())]
     )
@@ -115,7 +126,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             digest = b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets)
             h = np.frombuffer(digest, dtype="<i8").reshape(-1, 2)
             found = {"n": [len(s) for s in sets], "h1": h[:, 0], "h2": h[:, 1]}
-            found["sig"] = [signature(s) if len(s) else b"" for s in sets]
+            found["sig"] = [signature(s, positions) if len(s) else b"" for s in sets]
             yield arrow_batch(schema, {"doc_id": batch.column(0)} | found)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text")).mapInArrow(
@@ -123,7 +134,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _keys(reps: DataFrame) -> DataFrame:
+def _keys(reps: DataFrame, chunks: int) -> DataFrame:
     """(key, rep): a key for each chunk and each of its positions left out."""
     schema = pa.schema([("key", pa.int64()), ("rep", pa.int64())])
 
@@ -131,10 +142,10 @@ def _keys(reps: DataFrame) -> DataFrame:
         for batch in slices(batches, 2048):
             if not batch.num_rows:
                 continue
-            sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u2").reshape(-1, CHUNKS, LENGTH)
+            sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u2").reshape(-1, chunks, LENGTH)
             rep = batch.column(0).to_numpy()
             keys = []
-            for chunk in range(CHUNKS):
+            for chunk in range(chunks):
                 for out in range(LENGTH):
                     key = np.full(len(sigs), np.uint64(chunk * LENGTH + out + 1))
                     for k in range(LENGTH):
@@ -142,7 +153,7 @@ def _keys(reps: DataFrame) -> DataFrame:
                             key = (key ^ sigs[:, chunk, k].astype(np.uint64)) * _MIX_1 + _MIX_2
                             key ^= key >> np.uint64(32)
                     keys.append(_mixed(key))
-            yield arrow_batch(schema, {"key": np.concatenate(keys).view(np.int64), "rep": np.tile(rep, POSITIONS)})
+            yield arrow_batch(schema, {"key": np.concatenate(keys).view(np.int64), "rep": np.tile(rep, chunks * LENGTH)})
 
     return reps.select("rep", "sig").mapInArrow(keys_of, "key long, rep long")
 
@@ -181,7 +192,7 @@ def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.n
     return links
 
 
-def _bucket_links(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _bucket_links(rows: DataFrame, similarity: tuple[int, int], chunks: int) -> DataFrame:
     """(a, b): spanning links of each group of rows (key, i, j, rep, n, sig), sorted by group."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     top, of = similarity
@@ -189,7 +200,7 @@ def _bucket_links(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     def near(sig: np.ndarray, n: np.ndarray, m: int, others: np.ndarray) -> np.ndarray:
         small, large = np.minimum(n[m], n[others]), np.maximum(n[m], n[others])
         ok = of * small >= top * large
-        ok[ok] = (sig[others[ok]] != sig[m]).sum(axis=1) <= THRESHOLD
+        ok[ok] = (sig[others[ok]] != sig[m]).sum(axis=1) < 2 * chunks
         return ok
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +210,7 @@ def _bucket_links(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
             whole = pa.Table.from_batches(held).combine_chunks()
             keys = [whole.column(c).to_numpy() for c in ("key", "i", "j")]
             rep, n = whole.column("rep").to_numpy(), whole.column("n").to_numpy()
-            sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), dtype="<u2").reshape(-1, POSITIONS)
+            sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), dtype="<u2").reshape(-1, chunks * LENGTH)
             new = np.zeros(len(rep), dtype=bool)
             new[0] = True
             for k in keys:
@@ -211,7 +222,7 @@ def _bucket_links(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
             a, b = [], []
             two = starts[ends - starts == 2]
             small, large = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
-            ok = (of * small >= top * large) & ((sig[two] != sig[two + 1]).sum(axis=1) <= THRESHOLD)
+            ok = (of * small >= top * large) & ((sig[two] != sig[two + 1]).sum(axis=1) < 2 * chunks)
             a.extend(rep[two[ok]])
             b.extend(rep[two[ok] + 1])
             for s, e in zip(starts, ends, strict=True):
@@ -250,14 +261,14 @@ def in_blocks(rows: DataFrame, key: str, weight: str, member: str, bound: int) -
     )
 
 
-def _verified(members: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
+def _verified(members: DataFrame, width: int, similarity: tuple[int, int], chunks: int) -> DataFrame:
     """(a, b): links between members (group, i, j, rep, sig, text) whose full sets are similar."""
     top, of = similarity
 
     def verify(group: pa.Table) -> pa.Table:
         rep = group.column("rep").to_numpy()
         sets = shingle_sets(group.column("text").to_pylist(), width)
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u2").reshape(-1, POSITIONS)
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u2").reshape(-1, chunks * LENGTH)
         n = np.array([len(s) for s in sets])
         flat, ends = np.concatenate(sets), np.cumsum(n)
         common = np.array([np.bincount(c).argmax() for c in sig.T])
@@ -265,7 +276,7 @@ def _verified(members: DataFrame, width: int, similarity: tuple[int, int]) -> Da
         def similar(m: int, others: np.ndarray) -> np.ndarray:
             small, large = np.minimum(n[m], n[others]), np.maximum(n[m], n[others])
             ok = of * small >= top * large
-            ok[ok] = (sig[others[ok]] != sig[m]).sum(axis=1) <= THRESHOLD
+            ok[ok] = (sig[others[ok]] != sig[m]).sum(axis=1) < 2 * chunks
             live = others[ok]
             if len(live):
                 at = np.concatenate([np.arange(ends[o] - n[o], ends[o]) for o in live])
@@ -288,14 +299,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
 
     Two documents are linked when ``similarity[1] * shared >= similarity[0] * united`` shingles.
     """
-    signed = written(_signatures(docs, width), "signatures")
+    chunks = chunks_for(similarity[0] / similarity[1])
+    signed = written(_signatures(docs, width, chunks * LENGTH), "signatures")
     classes = written(
         signed.where("n > 0")
         .groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")),
         "classes",
     )
-    keys = _keys(classes)
+    keys = _keys(classes, chunks)
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
     buckets = written(keys.join(shared, "key"), "buckets")
     rows = in_blocks(
@@ -306,7 +318,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
         BUCKET_MEMBERS,
     )
     rows = rows.select("key", "i", "j", "rep", "n", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    groups = connected(_bucket_links(rows, similarity))
+    groups = connected(_bucket_links(rows, similarity, chunks))
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_bytes("text").alias("text"))
     members = (
@@ -315,7 +327,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
         .join(texts, "rep")
     )
     members = in_blocks(members, "group", "n", "rep", COMPONENT_SHINGLES)
-    roots = connected(_verified(members.select("group", "i", "j", "rep", "sig", "text"), width, similarity))
+    roots = connected(_verified(members.select("group", "i", "j", "rep", "sig", "text"), width, similarity, chunks))
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("root", "rep").alias("component_id")
     )
