@@ -1,19 +1,65 @@
-"""The corpus pipeline: stages of the llm operators over ``documents``."""
+"""The corpus pipeline: stages of the llm operators over ``documents``.
+
+Each stage takes what the stage before has kept and returns the columns of documents; the
+last returns the placed pieces of what is left. ``run`` writes every stage to the shared folder.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import language_id as lid
 from tidemark.llm.common import table, written
+from tidemark.llm.decontamination import find_passages
+from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.packing import pack
 
+#: A document whose best language has less than this mean probability is rejected.
+LEAST_SCORE = 0.35
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter and a language that the network is sure enough of."""
+    found = lid.identify(docs)
+    kept = found.where((F.col("lang_pred") != lid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the lines that at least ten documents share; ``n_chars`` follows."""
+    kept = dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        changed = F.col("n_dropped") > 0
+        kept = kept.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+    return kept.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each group of near duplicates, and all documents without words."""
+    copies = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ten words of the benchmark."""
+    found = find_passages(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.where("n_hit > 0").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: the placed pieces of every document that is left."""
+    """The placed pieces of every document that is left."""
     return pack(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 #: No SQL: the first stage is a trained network. Tested against brute force in tests/llm.
 ORACLE_SQL = None
 
@@ -21,5 +67,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
