@@ -30,9 +30,9 @@ _PRETOKEN = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\\s+(?!\\S)|\\s+"
 )
 #: Most frequent pre-tokens of the sample that are joined where texts are read.
-FREQUENT = 100_000
-#: Documents of the sample, at most.
-SAMPLED = 4_000
+FREQUENT = 250_000
+#: Documents of the sample, about.
+SAMPLED = 12_000
 
 
 class Splitter:
@@ -84,7 +84,7 @@ def _piece_counts(pretokens: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def _frequent(texts: DataFrame, vocabulary: str) -> dict[str, int]:
-    """At most ``FREQUENT`` pre-tokens with their piece counts, from at most ``SAMPLED`` documents."""
+    """At most ``FREQUENT`` pre-tokens with their piece counts, from about ``SAMPLED`` documents."""
     schema = pa.schema([("pretoken", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +96,7 @@ def _frequent(texts: DataFrame, vocabulary: str) -> dict[str, int]:
 
     rows = (
         texts.select("text")
-        .limit(SAMPLED)
+        .sample(min(1.0, SAMPLED / max(1, texts.count())), seed=4)
         .mapInArrow(count, "pretoken string, n long")
         .groupBy("pretoken")
         .agg(F.sum("n").alias("n"))
@@ -122,7 +122,7 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
         split, pieces = splitter(vocabulary), known.value
         for batch in slices(batches):
             out: dict[str, list] = {name: [] for name in schema.names}
-            rows, ids, pretokens, numbers, sizes = out.values()
+            rows, ids, pretokens, numbers, sizes = out.values()  # the document's id stands in its own row only
             for row, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 found, total = split.frequencies(text.decode())
                 rare = 0
@@ -137,7 +137,7 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
                 pretokens.append(None)
                 numbers.append(total)
                 rows.extend([row] * (rare + 1))
-                ids.extend([doc] * (rare + 1))
+                ids.extend([None] * rare + [doc])
                 sizes.extend([None] * rare + [len(text)])
             yield arrow_batch(schema, out)
 
@@ -150,13 +150,15 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
     )
     waiting = parts.where(F.col("pretoken").isNotNull())
     counted = _piece_counts(waiting.select("pretoken").distinct(), vocabulary)
-    rare = waiting.join(counted, "pretoken").select(
-        "row", "doc_id", (F.col("n") * F.col("pieces")).alias("n"), F.lit(None).cast("long").alias("n_bytes")
+    rare = (
+        waiting.select("row", "pretoken", "n")
+        .join(counted, "pretoken")
+        .groupBy("row")
+        .agg(F.sum(F.col("n") * F.col("pieces")).alias("rare"))
     )
     ready = parts.where(F.col("pretoken").isNull()).select("row", "doc_id", "n", "n_bytes")
     return (
-        rare.unionByName(ready)
-        .groupBy("row", "doc_id")
-        .agg(F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
+        ready.join(rare, "row", "left")
+        .withColumn("n_tokens", F.col("n") + F.coalesce("rare", F.lit(0)))
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     )
