@@ -12,6 +12,7 @@ from tidemark.llm.decontamination import find_passages
 from tidemark.llm.language_id import identify
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.neighbours import nearest
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import judge_urls
@@ -131,3 +132,8 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     found = identify(table(spark, folder, "documents").select("doc_id", "text", "lang"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op7_neighbours")
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
