@@ -184,10 +184,9 @@ def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.n
     for m in order:
         if not reached[m]:
             attempt(int(m))
-    sizes = np.bincount(label, minlength=n)
-    largest = int(np.argmax(sizes))
+    inside = int(np.argmax(np.bincount(label, minlength=n)[label])) if n else 0  # a member of the largest class
     for m in order:
-        if not tried[m] and label[m] != label[np.flatnonzero(label == largest)[0] if sizes[largest] else m]:
+        if not tried[m] and label[m] != label[inside]:
             attempt(int(m))
     return links
 
