@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import find_passages
 from tidemark.llm.language_id import identify
+from tidemark.llm.license_scan import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.neighbours import nearest
@@ -137,3 +138,59 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_neighbours")
 def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+#: Licence notices.
+LICENSE_NOTICES = [
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    (
+        "Apache-2.0",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    ),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation"),
+    ("MIT", "Released under the MIT License"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+]
+
+
+def _sql_licenses() -> str:
+    """The same by brute force: containment of every template in every window of its scale."""
+    names = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(LICENSE_NOTICES))
+    words = "list_filter(regexp_split_to_array(lower(coalesce({t}, '')), '[^a-z0-9]+'), lambda x: x <> '')"
+    return f"""WITH t AS (SELECT t, license, {words.format(t="text")} AS w FROM (VALUES {names}) v(t, license, text)),
+ts AS (SELECT DISTINCT t, license, s, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM
+  (SELECT t, license, w, CASE WHEN len(w) <= 6 THEN 6 WHEN len(w) <= 12 THEN 12 WHEN len(w) <= 24 THEN 24 ELSE 48 END AS s,
+    unnest(range(1, len(w) - 1)) AS i FROM t)),
+tn AS (SELECT t, count(*) AS n FROM ts GROUP BY 1),
+d AS (SELECT doc_id, {words.format(t="text")} AS w FROM documents),
+ds AS (SELECT doc_id, i - 1 AS p, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+h AS (SELECT doc_id, t, license, s, p, ds.g, unnest(range(greatest(0, CAST(ceil((p - (s + s // 2 - 3) + 1) / (s // 2)) AS BIGINT)), p // (s // 2) + 1)) AS k
+  FROM ds JOIN ts ON ds.g = ts.g),
+c AS (SELECT doc_id, t, license, k, count(DISTINCT g) AS n FROM h GROUP BY ALL),
+f AS (SELECT doc_id, license, max(c.n / tn.n) AS best FROM c JOIN tn USING (t) WHERE c.n / tn.n >= 0.8 GROUP BY 1, 2)
+SELECT d.doc_id, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses, count(license)::BIGINT AS n_licenses,
+  coalesce(max(best), 0)::DOUBLE AS containment FROM d LEFT JOIN f USING (doc_id) GROUP BY 1"""
+
+
+@query("op9_license_scan", _sql_licenses())
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = (
+        find_licenses(docs, LICENSE_NOTICES)
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_set("license")).alias("names"), F.max("containment").alias("containment"))
+    )
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce(F.array_join("names", ","), F.lit("")).alias("licenses"),
+        F.coalesce(F.size("names"), F.lit(0)).cast("long").alias("n_licenses"),
+        F.coalesce("containment", F.lit(0.0)).alias("containment"),
+    )
