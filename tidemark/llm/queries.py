@@ -15,6 +15,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.neighbours import nearest
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import score_quality
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.url_filter import judge_urls
 
@@ -194,3 +195,8 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.size("names"), F.lit(0)).cast("long").alias("n_licenses"),
         F.coalesce("containment", F.lit(0.0)).alias("containment"),
     )
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(table(spark, folder, "documents"))
