@@ -129,8 +129,11 @@ class Shard:
         return found
 
 
-def line_index(docs: DataFrame, min_chars: int = 1) -> DataFrame:
-    """(shard, blob): the index of all keys that at least two documents have."""
+def line_index(docs: DataFrame, min_chars: int = 1) -> tuple[DataFrame, int]:
+    """(shard, blob) of all keys that at least two documents have, and the number of shards.
+
+    A shard without keys has no row.
+    """
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64())])
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,12 +159,12 @@ def line_index(docs: DataFrame, min_chars: int = 1) -> DataFrame:
         blob = Shard.build(h1.view(np.uint64), h2.view(np.uint64), n)
         return pa.table({"shard": pa.array(shard[:1]), "blob": pa.array([blob], pa.binary())})
 
-    return written(
-        shared.withColumn("shard", F.pmod("h1", F.lit(shards)))
+    index = (
+        shared.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("long"))
         .groupBy("shard")
-        .applyInArrow(build, "shard long, blob binary"),
-        "line-index",
+        .applyInArrow(build, "shard long, blob binary")
     )
+    return written(index, "line-index"), shards
 
 
 def _without(text: bytes | None, drop: np.ndarray, lines: list[bytes]):
@@ -172,16 +175,16 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Data
     """``docs`` with shared lines left out of ``text``, and n_lines and n_dropped (these replace
     columns of their names). Other columns stay as they are."""
     spark = docs.sparkSession
-    index = line_index(docs, min_chars)
-    size = index.agg(F.sum(F.length("blob")).alias("size"), F.max("shard").alias("last")).first()
+    index, shards = line_index(docs, min_chars)
+    size = index.agg(F.sum(F.length("blob"))).first()[0] or 0
     plain = docs.drop("n_lines", "n_dropped").withColumn("text", F.col("text").cast("string"))
-    if (size["size"] or 0) <= SENT_BYTES:
+    if size <= SENT_BYTES:
         sent = spark.sparkContext.broadcast({r["shard"]: bytes(r["blob"]) for r in index.collect()})
-        return _probe_sent(plain, sent, min_docs, min_chars)
-    return _probe_routed(plain, index, int(size["last"]) + 1, min_docs, min_chars)
+        return _probe_sent(plain, sent, shards, min_docs, min_chars)
+    return _probe_routed(plain, index, shards, min_docs, min_chars)
 
 
-def _probe_sent(plain: DataFrame, sent, min_docs: int, min_chars: int) -> DataFrame:
+def _probe_sent(plain: DataFrame, sent, shards: int, min_docs: int, min_chars: int) -> DataFrame:
     shape = ", ".join(f"`{c}` {kind}" for c, kind in plain.dtypes) + ", n_lines long, n_dropped long"
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +197,7 @@ def _probe_sent(plain: DataFrame, sent, min_docs: int, min_chars: int) -> DataFr
             keys = [line_key(x) for doc in lines for x in doc]
             drop = np.zeros(len(keys), dtype=bool)
             h = hashes(keys)
-            shard = h[:, 0].view(np.int64) % max(1, len(index))  # of Python's sign, as pmod
+            shard = np.ascontiguousarray(h[:, 0]).view(np.int64) % shards  # never negative, as pmod
             for s, one in index.items():
                 here = np.flatnonzero(shard == s)
                 drop[here] = one.counts_of(h[here, 0], h[here, 1]) >= min_docs
@@ -232,7 +235,7 @@ def _probe_routed(plain: DataFrame, index: DataFrame, shards: int, min_docs: int
     probes = written(probes, "line-probes")
     salts = max(1, -(-probes.count() // (ROUTED_TOGETHER * shards)))
     probes = probes.withColumns(
-        {"shard": F.pmod("h1", F.lit(shards)), "salt": F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int")}
+        {"shard": F.pmod("h1", F.lit(shards)).cast("long"), "salt": F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int")}
     )
     copies = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
