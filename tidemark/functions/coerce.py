@@ -64,20 +64,33 @@ def iso_text(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 
 
+def epoch_instant(number: Column) -> Column:
+    """Instant from epoch seconds, or milliseconds where the number is too large for seconds."""
+    value = number.cast("double")
+    seconds = F.when(value > F.lit(float(MILLISECOND_THRESHOLD)), value / F.lit(1000.0)).otherwise(value)
+    return F.timestamp_micros(F.round(seconds * F.lit(1_000_000.0)).cast("long"))
+
+
+def variant_instant(value: Column, zone: str = PROJECT_TIME_ZONE) -> Column:
+    """Instant of a JSON value: a number is an epoch, text is read by :func:`instant`."""
+    shape = F.schema_of_variant(value)
+    number = shape.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(number, epoch_instant(F.try_variant_get(value, "$", "double"))).otherwise(
+        instant(F.when(shape == "STRING", F.try_variant_get(value, "$", "string")), zone)
+    )
+
+
 def instant(text: Column, zone: str = PROJECT_TIME_ZONE) -> Column:
-    """Instant from ISO text with or without offset, or epoch seconds / milliseconds.
+    """Instant from ISO text with or without offset; digits alone are no instant.
 
     Text without an offset is local time in ``zone``.
     """
     trimmed = F.trim(text.cast("string"))
-    numeric = F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
-    seconds = F.when(numeric > F.lit(float(MILLISECOND_THRESHOLD)), numeric / F.lit(1000.0)).otherwise(numeric)
-    from_number = F.timestamp_micros(F.round(seconds * F.lit(1_000_000.0)).cast("long"))
     iso = trimmed.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?$")
     zoned = trimmed.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & trimmed.contains(":")
     # Naive text is local time in ``zone`` whatever the session zone is.
     naive = F.convert_timezone(F.lit(zone), F.current_timezone(), trimmed.try_cast("timestamp_ntz")).cast("timestamp")
-    return F.when(numeric.isNotNull(), from_number).when(
+    return F.when(
         iso, F.when(zoned, trimmed.try_cast("timestamp")).otherwise(naive)
     )
 

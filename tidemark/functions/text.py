@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.fixed_values import BLOCKED_HOST_SUFFIXES
 
 
-def compact_text(text: Column, limit: int = 1200) -> Column:
-    """Runs of white space become one space; longer text is cut and marked with ``…``."""
+def compact_text(text: Column, limit: int | None = None) -> Column:
+    """Runs of white space become one space. With a display ``limit``, longer text is cut and marked with ``…``."""
     flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
+    if limit is None:
+        return flat
     return F.when(F.length(flat) > limit, F.concat(F.trim(F.left(flat, F.lit(limit))), F.lit("…"))).otherwise(flat)
 
 
@@ -95,7 +97,7 @@ def markdown_title(text: Column, path: Column) -> Column:
     return F.when(heading != "", heading).otherwise(name)
 
 
-def markdown_summary(text: Column, limit: int = 320) -> Column:
+def markdown_summary(text: Column, limit: int | None = None) -> Column:
     return compact_text(F.regexp_replace(text, r"(?m)\A([\s\S]*?)^#.+$", "$1"), limit)
 
 
@@ -123,7 +125,12 @@ def _unquoted(token: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")[0]
 
 
-def embedded_text(text: Column, depth: int = 8) -> Column:
+#: A quote inside n levels of quoting has ``2 ** n - 1`` backslashes before it: JSON quoted this
+#: often takes a megabyte for every quote.
+_QUOTED_LEVELS = 20
+
+
+def embedded_text(text: Column, depth: int = _QUOTED_LEVELS) -> Column:
     """All strings (keys and values) inside text that may be JSON, also JSON in JSON.
 
     Each level takes the string tokens of a valid JSON text in document order and looks
@@ -133,6 +140,6 @@ def embedded_text(text: Column, depth: int = 8) -> Column:
     if depth <= 0:
         return stripped
     is_json = stripped.rlike(r'^[\[{"]') & F.try_parse_json(stripped).isNotNull()
-    tokens = F.regexp_extract_all(stripped, F.lit(r'("(?:[^"\\]|\\.)*")'), F.lit(1))
+    tokens = F.regexp_extract_all(stripped, F.lit(r'("[^"\\]*+(?:\\.[^"\\]*+)*+")'), F.lit(1))
     inner = F.array_join(F.transform(tokens, lambda t: embedded_text(_unquoted(t), depth - 1)), " ")
     return F.when(is_json, inner).otherwise(stripped)

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
-from tidemark.functions.coerce import code_base, instant, listed_code, zone_text
+from tidemark.functions.coerce import code_base, epoch_instant, instant, listed_code, variant_instant, zone_text
 from tidemark.functions.text import compact_text, content_id, embedded_text, safe_url, semantic_key
 from tidemark.operators.joins import join_checked
 from tidemark.operators.versions import first_by, latest_by
 
 ITEM_SCHEMA = (
-    "title string, summary string, url string, publish_time string, "
+    "title string, summary string, url string, publish_time variant, "
     "extra struct<publish_source: string, real_publish_source: string>, "
     "stock_infos array<struct<code: string, name: string>>"
 )
@@ -113,7 +113,8 @@ def content_table(
     ``items`` has :data:`ITEM_SCHEMA` plus query, fetched_at, raw_record_id and position.
     Items without title, URL or publish time are rejected. The first item of an id stays.
     """
-    moment = instant(F.col("publish_time"))
+    kinds = {"variant": variant_instant, "string": instant}
+    moment = kinds.get(dict(items.dtypes)["publish_time"], epoch_instant)(F.col("publish_time"))
     published = zone_text(moment)
     kind, words = classify(F.col("title"), rules)
     code, name = single_security(F.col("stock_infos"))
@@ -231,24 +232,15 @@ def by_name_then(df: DataFrame, first: Sequence[Column], name: str, collation: s
 
 
 def related(content: DataFrame, companies: DataFrame) -> DataFrame:
-    """Content of a company by code or by name: two equi joins, pairs kept once.
+    """Content of a company by code or by name: two equi joins, each pair once.
 
-    ``companies`` holds one row per code; a name is only useful when it is unique there,
-    so repeated names are matched by code alone.
+    ``companies`` holds one row per code. A name that several companies have is a match for
+    each of them; adaptive execution splits the join of a name that much content has.
     """
     by_code = content.join(companies.select("security_code"), "security_code").select("security_code", "id")
-    unique_names = (
-        companies.where(F.coalesce(F.col("security_name"), F.lit("")) != "")
-        .groupBy("security_name")
-        .agg(F.min("security_code").alias("__code"), F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") == 1)
-    )
-    by_name = (
-        content.join(unique_names, "security_name")
-        .where(~F.col("security_code").eqNullSafe(F.col("__code")))
-        .select(F.col("__code").alias("security_code"), "id")
-    )
-    return by_code.unionByName(by_name)
+    named = companies.where(F.coalesce(F.col("security_name"), F.lit("")) != "")
+    by_name = content.drop("security_code").join(named.select("security_code", "security_name"), "security_name")
+    return by_code.unionByName(by_name.select("security_code", "id")).distinct()
 
 
 def content_coverage(content: DataFrame) -> DataFrame:

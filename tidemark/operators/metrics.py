@@ -236,11 +236,11 @@ ADVANCED_FIELDS = [
 ]
 
 
-def advanced_metrics(facts: DataFrame, version: str) -> DataFrame:
-    """Growth, average returns and free cash flow, five rows per report.
+def advanced_metrics(facts: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:
+    """(metrics, rejected facts): growth, average returns and free cash flow, five rows per report.
 
-    ``period_end`` must be a date at a quarter end; rows at other days are rejected, see
-    :func:`unsupported_periods`.
+    ``period_end`` must be a date at a quarter end; facts at other days or without one come back
+    as they are beside the metrics.
     """
     wide = latest_wide(facts, ADVANCED_FIELDS).where(is_period_end(F.col("period_end")))
     flat = wide.select(
@@ -311,18 +311,19 @@ def advanced_metrics(facts: DataFrame, version: str) -> DataFrame:
         item("free_cash_flow", (cash, cash_status), none, none, ["af_net_cash_flow_operating", "af_capital_expenditure_cash"]),
     ]
     exploded = rows.select(*KEYS, "identity", F.explode(F.array(*items)).alias("m"))
-    return exploded.select(
+    metrics = exploded.select(
         *KEYS,
         F.col("identity.security_name").alias("security_name"),
         "m.*",
         F.lit(False).alias("annualized"),
         F.lit(version).alias("metric_definition_version"),
     )
+    return metrics, unsupported_periods(facts)
 
 
 def unsupported_periods(facts: DataFrame, period: str = "period_end") -> DataFrame:
     """Fact periods that end on no quarter end."""
-    return facts.where(~is_period_end(F.col(period)))
+    return facts.where(~F.coalesce(is_period_end(F.col(period)), F.lit(False)))
 
 
 def metric_coverage(metrics: DataFrame) -> DataFrame:

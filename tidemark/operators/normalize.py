@@ -72,11 +72,22 @@ def pick(name: str, value: Column, condition: Column | None = None) -> Column:
     return F.max(F.when(matched, value))
 
 
+#: Fields that have a value for each adjustment; the unadjusted one is used.
+PRICES = ["open", "high", "low", "close"]
+
+
 def lineage_map(names: Sequence[str]) -> Column:
     """map<canonical name, lineage> of a row; a row has tens of cells."""
-    wanted = F.col("canonical_field_name").isin(*names)
+    name = F.col("canonical_field_name")
+    adjusted = name.isin(*PRICES) & F.coalesce(F.col("adjustment_type") != "unadjusted", F.lit(True))
+    entry = F.struct(name.alias("key"), lineage_entry().alias("value"))
+    entries = F.sort_array(F.collect_list(F.when(name.isin(*names) & ~adjusted, entry)))
+    # Two raw names may stand for one field: the first in order is its lineage.
     return F.map_from_entries(
-        F.sort_array(F.collect_list(F.when(wanted, F.struct(F.col("canonical_field_name").alias("key"), lineage_entry().alias("value")))))
+        F.transform(
+            F.array_distinct(F.transform(entries, lambda e: e["key"])),
+            lambda key: F.filter(entries, lambda e: e["key"] == key)[0],
+        )
     )
 
 
@@ -88,7 +99,7 @@ def split_market(described: DataFrame, keys: Sequence[str], fetched_at: str = "f
     """
     text = cell_text(F.col("cell"))
     unadjusted = F.col("adjustment_type") == "unadjusted"
-    prices = ["open", "high", "low", "close"]
+    prices = PRICES
     numbers = [*prices, "volume", "turnover", "market_cap", "pe_ttm"]
     per_number = []
     for n in numbers:

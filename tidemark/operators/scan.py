@@ -30,16 +30,15 @@ def scan_field_names(df: DataFrame, keys: Sequence[str], names: str) -> DataFram
     return rows.select(*keys, forbidden_field(F.col("__name")).alias("category")).where(F.col("category").isNotNull())
 
 
-def flatten_documents(documents: DataFrame, key: str, variant: str, max_depth: int = 64) -> DataFrame:
+def flatten_documents(documents: DataFrame, key: str, variant: str) -> DataFrame:
     """(key, location, field, text) rows of nested JSON documents.
 
     Each round opens one level of all documents, until none holds a container. Array
-    positions are not part of the location. A document nested deeper than ``max_depth``
-    is an error; nothing is skipped.
+    positions are not part of the location.
     """
     level = documents.select(F.col(key), F.lit("$").alias("location"), F.col(variant).alias("__v"))
     done: list[DataFrame] = []
-    for _ in range(max_depth):
+    while True:
         shape = F.schema_of_variant("__v")
         container = shape.startswith("OBJECT") | shape.startswith("ARRAY")
         done.append(
@@ -66,8 +65,6 @@ def flatten_documents(documents: DataFrame, key: str, variant: str, max_depth: i
             opened.where(F.col("field").isNotNull()).select(key, "location", "field", F.lit(None).cast("string").alias("text"))
         )
         level = opened.select(key, "location", "__v")
-    else:
-        raise ValueError(f"documents nest deeper than {max_depth} levels")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

@@ -252,10 +252,3 @@ _SORTS = {
 def page(df: DataFrame, sort: str, number: int, size: int, key: str = "security_code") -> DataFrame:
     """One page of a sorted view. The key ends the order, so pages never overlap."""
     return df.orderBy(_SORTS[sort](), F.col(key).asc()).offset((number - 1) * size).limit(size)
-
-
-def guarded_refresh(fresh: DataFrame, published: DataFrame, share: float = 0.8) -> DataFrame:
-    """The fresh table when it has at least ``share`` of the published rows, else the published one."""
-    import math
-
-    return fresh if fresh.count() >= math.floor(published.count() * share) else published

@@ -188,14 +188,15 @@ def ratio_metrics_long(spark: SparkSession, folder: str) -> DataFrame:
     "metric_coverage",
     f"""WITH {d.SQL_FACTS}, s AS (
   SELECT code, period_end, 'net_profit_margin' AS metric_name, revenue <> 0 AS ok FROM facts
-  UNION ALL SELECT code, period_end, 'operating_cash_flow_margin', cash IS NOT NULL AND revenue <> 0 FROM facts)
+  UNION ALL SELECT code, period_end, 'operating_cash_flow_margin', cash IS NOT NULL AND revenue <> 0 FROM facts
+  UNION ALL SELECT code, period_end, 'operating_cash_to_net_income', cash IS NOT NULL AND net_income <> 0 FROM facts
+  UNION ALL SELECT code, period_end, unnest(['operating_profit_margin', 'liability_to_assets']), false FROM facts)
 SELECT metric_name, CAST(period_end AS VARCHAR) AS period_end, count(DISTINCT code) AS security_count, count(*) AS record_count,
   count(*) FILTER (WHERE ok) AS calculated_count, count(*) FILTER (WHERE NOT ok) AS unavailable_count FROM s GROUP BY 1, 2""",
 )
 def metric_coverage(spark: SparkSession, folder: str) -> DataFrame:
     facts = d.part_facts(table(spark, folder, "lineitem"))
-    definitions = [x for x in fixed.RATIO_METRICS if x[0] in fixed.REQUIRED_METRICS]
-    covered = m.metric_coverage(m.ratio_metrics(facts, definitions))
+    covered = m.metric_coverage(m.ratio_metrics(facts))
     return covered.withColumn("period_end", iso_text(F.col("period_end")))
 
 
@@ -319,7 +320,7 @@ u AS (
 SELECT code AS security_code, CAST(pe AS VARCHAR) AS period_end, metric_name, CASE WHEN st = 'calculated' THEN value END AS value, st AS calculation_status, CAST(af AS VARCHAR) AS available_from FROM u""",
 )
 def advanced_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    rows = m.advanced_metrics(supplier_facts(table(spark, folder, "lineitem")), fixed.ADVANCED_METRIC_DEFINITION_VERSION)
+    rows, _ = m.advanced_metrics(supplier_facts(table(spark, folder, "lineitem")), fixed.ADVANCED_METRIC_DEFINITION_VERSION)
     return rows.select(
         "security_code", iso_text(F.col("period_end")).alias("period_end"), "metric_name", F.round("value", 6).alias("value"),
         "calculation_status", iso_text(F.col("available_from")).alias("available_from"),

@@ -90,17 +90,24 @@ def content_mart(news: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
 def period_mart(facts: DataFrame, metrics: DataFrame, reports: DataFrame, keys: Sequence[str] = ("security_code", "period_end")) -> DataFrame:
     """Per (security, period): report label and filing date, facts map and metrics map.
 
+    Of several fetches the newest counts (by ``fetched_at``; of one instant, the largest row).
     A report has tens of fields, so its maps are bounded by the configured mapping.
     """
     keys = list(keys)
 
     def as_map(df: DataFrame, name: str, value: Column, out: str) -> DataFrame:
-        entries = F.sort_array(F.collect_list(F.struct(F.col(name).alias("key"), value.alias("value"))))
-        return df.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
+        one = df.groupBy(*keys, F.col(name).alias("key")).agg(
+            F.max(F.struct(F.col("fetched_at"), value.alias("value")))["value"].alias("value")
+        )
+        entries = F.sort_array(F.collect_list(F.struct("key", "value")))
+        return one.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
 
     fact_maps = as_map(facts, "canonical_field_name", F.when(F.col("value_status") == "present", F.col("value")), "facts")
     metric_maps = as_map(metrics, "metric_name", F.when(F.col("calculation_status") == "calculated", F.col("value")), "metrics")
-    meta = reports.select(*keys, "report_type", "report_period_label", "filing_date")
+    described = F.struct("fetched_at", "report_type", "report_period_label", "filing_date")
+    meta = reports.groupBy(*keys).agg(F.max(described).alias("__newest")).select(
+        *keys, "__newest.report_type", "__newest.report_period_label", "__newest.filing_date"
+    )
     return fact_maps.join(metric_maps, keys, "full").join(meta, keys, "left")
 
 

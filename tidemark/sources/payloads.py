@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 METADATA_SCHEMA = (
     "source string, query string, fetched_at string, record_id string, schema_version int, "
@@ -20,7 +21,7 @@ METADATA_SCHEMA = (
 COMPONENT_COLUMNS = "component int, columns array<variant>, rows array<variant>, page int, page_limit int, code_count int"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def canonical_sha256(payload: pd.Series) -> pd.Series:
     """SHA-256 of the canonical form: sorted keys, no spaces, text as it is, no NaN."""
 

@@ -31,10 +31,9 @@ def read_envelopes(spark: SparkSession, path: str, source: str | None = None) ->
     the payload digest equals the recorded one. Files are found below ``path`` at any depth.
     """
     files = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
-        .text(path)
+        .text(path, wholetext=True)
         .select("value", F.col("_metadata.file_path").alias("raw_path"))
     )
     parts = files.select(
@@ -86,23 +85,38 @@ def read_table(spark: SparkSession, manifest: DataFrame, root: str, table: str,
     return read_lines(spark, [f"{root}/{f}" for f in files], schema)
 
 
-def read_contract_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV whose header must be exactly ``columns`` (a byte-order mark is allowed); all text."""
-    header = spark.read.text(path).first()
-    names = (header[0] if header else "").lstrip("﻿").strip().split(",")
-    if names != list(columns):
-        raise ValueError("header does not match the versioned schema")
+def read_contract_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad files) of CSV files whose header must be exactly ``columns``; all text.
+
+    Every file's own first line is checked (a byte-order mark is allowed). Rows of a file with
+    another header are left out, and the file is listed with the header it has.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__line"),
+    )
+    headers = lines.where(F.col("__start") == 0).groupBy("file").agg(F.min_by("value", "__line").alias("header"))
+    names = F.transform(F.split(F.regexp_replace("header", "^\ufeff", ""), ","), lambda x: F.trim(x))
+    bad = headers.where(names != F.array(*[F.lit(c) for c in columns]))
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").csv(path)
+    rows = (
+        spark.read.schema(schema)
+        .option("header", "true")
+        .option("enforceSchema", "true")
+        .csv(path)
+        .select(*[f"`{c}`" for c in columns], F.col("_metadata.file_path").alias("__file"))
+    )
+    return rows.join(bad.select(F.col("file").alias("__file")), "__file", "left_anti").drop("__file"), bad
 
 
 def read_documents(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """Whole text files below a folder, with their paths."""
     return (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .text(path)
+        .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     )
 
@@ -118,12 +132,14 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.col("length").alias("byte_size"), F.sha2("content", 256).alias("sha256"))
 
 
-def manifest_check(manifest: DataFrame, digests: DataFrame) -> DataFrame:
-    """Manifest entries against the files found: ok, missing_file or hash_mismatch."""
-    found = digests.select(
-        F.substring_index("path", "/", -1).alias("__name"), F.col("sha256").alias("__sha256"), "path"
-    )
-    joined = manifest.join(found, F.substring_index(F.col("file"), "/", -1) == F.col("__name"), "left")
+def manifest_check(manifest: DataFrame, digests: DataFrame, root: str) -> DataFrame:
+    """Manifest entries against the files found: ok, missing_file or hash_mismatch.
+
+    Files are told apart by their path below ``root``, so equal names in two bundles do not meet.
+    """
+    below = F.substring_index("path", root.rstrip("/") + "/", -1)
+    found = digests.select(below.alias("file"), F.col("sha256").alias("__sha256"))
+    joined = manifest.join(found, "file", "left")
     status = (
         F.when(F.col("__sha256").isNull(), F.lit("missing_file"))
         .when(F.col("__sha256") != F.col("sha256"), F.lit("hash_mismatch"))
