@@ -99,7 +99,7 @@ def parse_field_names(
     day = iso_text(compact_date(F.regexp_replace(context, "-", "")))
     out = out.withColumn("__day", F.when(dated, day)).withColumn("__dated", dated)
     out = out.withColumn("__label", report_label_period(context)).withColumn("__label_type", report_label_type(context))
-    out = out.join(F.broadcast(mapping), "base_field_name", "left")
+    out = out.join(mapping, "base_field_name", "left")
     mapped = F.col("canonical_field_name").isNotNull()
     financial = F.coalesce(F.col("category").isin("financial", "financial_metadata"), F.lit(False))
     as_period = financial & F.col("__day").isNotNull()

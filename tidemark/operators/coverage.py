@@ -183,7 +183,7 @@ def distinct_records(frames: Sequence[DataFrame], identity: str) -> DataFrame:
 def filled_counts(counts: DataFrame, names: Sequence[str], name: str, count: str) -> DataFrame:
     """Counts with a zero row for every configured name that did not occur."""
     wanted = counts.sparkSession.createDataFrame([(n,) for n in names], f"{name} string")
-    return F.broadcast(wanted).join(counts, name, "left").select(
+    return wanted.join(counts, name, "left").select(
         name, F.coalesce(F.col(count), F.lit(0).cast("long")).alias(count)
     )
 

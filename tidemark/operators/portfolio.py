@@ -11,7 +11,8 @@ from tidemark.operators.joins import join_checked
 
 
 def weights(holdings: DataFrame, value: str = "market_value", day: str = "as_of_date") -> DataFrame:
-    """Each position's share of its day's total."""
+    """Each position's share of its day's total; summed as decimals, so in any order."""
+    holdings = holdings.withColumn(value, F.col(value).cast("decimal(28,2)"))
     totals = holdings.groupBy(day).agg(F.sum(value).alias("total_value"))
     joined = join_checked(holdings, totals, [day], "left")
     return joined.withColumn(

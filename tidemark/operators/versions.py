@@ -91,6 +91,15 @@ def latest_slice(df: DataFrame, domain: Sequence[str], date: str) -> DataFrame:
     )
 
 
+def _no_id(key: str) -> Column:
+    return F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) == ""
+
+
+def without_id(df: DataFrame, key: str) -> DataFrame:
+    """Rows that cannot be merged, as they have no id."""
+    return df.where(_no_id(key))
+
+
 def merge_duplicates(
     df: DataFrame, key: str, mergeable: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
@@ -98,8 +107,10 @@ def merge_duplicates(
 
     Identical copies collapse. Among ``mergeable`` text columns the longest text wins,
     then the smallest. Any other difference makes the id a conflict, listed with the
-    names of the differing columns; conflicting ids are left out of ``merged``.
+    names of the differing columns; conflicting ids are left out of ``merged``. Rows without
+    an id are in neither, see :func:`without_id`.
     """
+    df = df.where(~_no_id(key))
     fixed = [c for c in df.columns if c != key and c not in mergeable]
     aggregates = [F.count(F.lit(1)).alias("copies")]
     for c in mergeable:

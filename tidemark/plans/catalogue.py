@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("tidemark.plans.catalogue_screening",)
+MODULES = ("tidemark.plans.catalogue_screening", "tidemark.plans.catalogue_data")
 
 
 def load() -> None:
