@@ -1,30 +1,13 @@
-"""Joins against small tables whose size is checked before they are broadcast."""
+"""Joins whose physical form is left to adaptive execution."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_checked(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Broadcast ``right`` only after counting it; beyond the bound, a shuffle join.
-
-    The shuffle join is left to adaptive execution, which splits skewed partitions.
-    """
-    if fits_broadcast(right, max_rows):
-        right = F.broadcast(right)
+def join_checked(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
+    """A join without hints: Spark broadcasts ``right`` only after it has measured its bytes at
+    run time, and splits skewed partitions otherwise. No job runs while the plan is built."""
     return left.join(right, on if isinstance(on, (str, Column)) else list(on), how)

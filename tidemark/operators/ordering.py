@@ -16,7 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import BROADCAST_ROWS, fits_broadcast
 from tidemark.session import settle
 
 _ROW = "__row"
@@ -34,9 +33,9 @@ def lay_out(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]) ->
     ``__part`` is the partition and ``__row`` increases along the global order.
     """
     keys = [F.col(c).asc_nulls_first() for c in by] + [_as_column(o) for o in order]
-    laid = settle(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
-    numbered = laid.withColumn(_ROW, F.monotonically_increasing_id())
-    return numbered.withColumn(_PART, F.shiftright(F.col(_ROW), _LOCAL_BITS).cast("int"))
+    laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_ROW, F.monotonically_increasing_id())
+    # Numbers are written with the rows, so reading them in other partitions changes nothing.
+    return settle(laid.withColumn(_PART, F.shiftright(F.col(_ROW), _LOCAL_BITS).cast("int")))
 
 
 def _attach(laid: DataFrame, per_part: DataFrame, by: Sequence[str], bounded: bool) -> DataFrame:
@@ -44,7 +43,7 @@ def _attach(laid: DataFrame, per_part: DataFrame, by: Sequence[str], bounded: bo
     renamed = per_part.select(
         *[F.col(c).alias(f"__r_{c}") if c in (*by, _PART) else F.col(c) for c in per_part.columns]
     )
-    if bounded or fits_broadcast(renamed, BROADCAST_ROWS):
+    if bounded:  # one row for each partition
         renamed = F.broadcast(renamed)
     condition = F.col(_PART) == F.col(f"__r_{_PART}")
     for c in by:

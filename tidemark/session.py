@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,10 +54,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and cut its lineage.
-
-    The rows then keep their partition and their order through executor loss, which
-    the two-pass operators in :mod:`tidemark.operators.ordering` rely on.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a Parquet table in the shared folder: lineage is cut, columns can be pruned, and
+    the rows outlive any executor."""
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
