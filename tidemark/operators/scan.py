@@ -31,12 +31,17 @@ def scan_field_names(df: DataFrame, keys: Sequence[str], names: str) -> DataFram
 
 
 def flatten_documents(documents: DataFrame, key: str, variant: str) -> DataFrame:
-    """(key, location, field, text) rows of nested JSON documents.
+    """(key, location, field, text, under, outer) rows of nested JSON documents.
+
+    ``under`` is the nearest member name above a text, ``outer`` the one above that.
 
     Each round opens one level of all documents, until none holds a container. Array
     positions are not part of the location.
     """
-    level = documents.select(F.col(key), F.lit("$").alias("location"), F.col(variant).alias("__v"))
+    none = F.lit(None).cast("string")
+    level = documents.select(
+        F.col(key), F.lit("$").alias("location"), F.col(variant).alias("__v"), none.alias("under"), none.alias("outer")
+    )
     done: list[DataFrame] = []
     while True:
         shape = F.schema_of_variant("__v")
@@ -44,7 +49,7 @@ def flatten_documents(documents: DataFrame, key: str, variant: str) -> DataFrame
         done.append(
             level.where(F.coalesce(~container, F.lit(False)) & (shape == "STRING")).select(
                 key, "location", F.lit(None).cast("string").alias("field"),
-                F.variant_get("__v", "$", "string").alias("text"),
+                F.variant_get("__v", "$", "string").alias("text"), "under", "outer",
             )
         )
         nested = level.where(F.coalesce(container, F.lit(False)))
@@ -57,14 +62,16 @@ def flatten_documents(documents: DataFrame, key: str, variant: str) -> DataFrame
                 F.concat("location", F.when(F.col("__key").isNull(), F.lit("[]")).otherwise(F.lit(".*"))).alias("location"),
                 F.col("__key").alias("field"),
                 F.col("__value").alias("__v"),
+                F.coalesce("__key", "under").alias("under"),
+                F.when(F.col("__key").isNull(), F.col("outer")).otherwise(F.col("under")).alias("outer"),
             )
         )
         if opened.isEmpty():
             break
         done.append(
-            opened.where(F.col("field").isNotNull()).select(key, "location", "field", F.lit(None).cast("string").alias("text"))
+            opened.where(F.col("field").isNotNull()).select(key, "location", "field", none.alias("text"), "under", "outer")
         )
-        level = opened.select(key, "location", "__v")
+        level = opened.select(key, "location", "__v", "under", "outer")
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -72,11 +79,17 @@ def flatten_documents(documents: DataFrame, key: str, variant: str) -> DataFrame
 
 
 def scan_documents(documents: DataFrame, key: str, variant: str) -> DataFrame:
-    """Field-name and text findings of nested documents."""
+    """Field-name and text findings of nested documents.
+
+    Texts that name fields, in lists of raw field names and in column descriptors, are
+    checked as names too.
+    """
     flat = flatten_documents(documents, key, variant)
-    names = flat.where(F.col("field").isNotNull()).select(
-        key, "location", forbidden_field(F.col("field")).alias("category")
-    ).where(F.col("category").isNotNull())
+    naming = (F.col("under") == "raw_field_names") | (
+        F.col("under").isin("key", "index_name") & (F.col("outer") == "columns")
+    )
+    name = F.coalesce("field", F.when(naming, F.col("text")))
+    names = flat.select(key, "location", forbidden_field(name).alias("category")).where(F.col("category").isNotNull())
     texts = scan_text(flat.where(F.col("text").isNotNull()), [key, "location"], "text")
     return names.unionByName(texts).distinct()
 

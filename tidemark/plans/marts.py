@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
+from tidemark.functions.detect import DETECTORS
 from tidemark.functions.names import publish_columns
-from tidemark.functions.text import shard_of
+from tidemark.functions.text import public_url, shard_of
 from tidemark.operators.coverage import domain_status
 from tidemark.operators.ordering import ranked
 from tidemark.operators.versions import merge_duplicates
@@ -72,18 +73,39 @@ def company_detail(
     return out.withColumn("detail_shard", shard_of(F.col(key)))
 
 
+def publication_gate(records: DataFrame, key: str, url: str = "url") -> tuple[DataFrame, DataFrame]:
+    """(publishable records, rejected keys with reasons).
+
+    A url, where there is one, must be absolute http or https to a public host without user info,
+    and no text of the record may hold what a sensitive-data detector knows.
+    """
+    texts = [c for c, kind in records.dtypes if kind == "string" and c != key]
+    joined = F.concat_ws("\n", *[F.col(c) for c in texts])
+    reasons = [F.when(F.col(url).isNotNull() & ~public_url(F.col(url)), F.lit("url_not_public"))] if url in texts else []
+    reasons += [F.when(F.coalesce(found(joined), F.lit(False)), F.lit(name)) for name, found in DETECTORS.items()]
+    marked = records.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
+    return (
+        marked.where(F.size("reject_reasons") == 0).drop("reject_reasons"),
+        marked.where(F.size("reject_reasons") > 0).select(key, "reject_reasons"),
+    )
+
+
 def content_mart(news: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
-    """Deduplicated news and events, and the conflicts that block publication.
+    """Deduplicated news and events that may be published, and what blocks the rest.
 
     News summaries may differ between copies; for events any difference is a conflict.
     """
     public_news, news_conflicts = merge_duplicates(publish_columns(news, fixed.CONTENT_COLUMNS), "newsId", ["summary"])
     public_events, event_conflicts = merge_duplicates(publish_columns(events, fixed.CONTENT_COLUMNS), "eventId")
+    safe_news, rejected_news = publication_gate(public_news, "newsId")
+    safe_events, rejected_events = publication_gate(public_events, "eventId")
     return {
-        "news": public_news,
-        "events": public_events,
+        "news": safe_news,
+        "events": safe_events,
         "news_conflicts": news_conflicts,
         "event_conflicts": event_conflicts,
+        "news_rejected": rejected_news,
+        "event_rejected": rejected_events,
     }
 
 
