@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.versions import latest_by
-from tidemark.session import settle
 
-BUCKET = "key_bucket"
+BATCH = "batch"
 
 
 def file_stream(
@@ -45,49 +43,50 @@ def first_arrivals(stream: DataFrame, keys: Sequence[str], event_time: str, dela
 
 
 def upsert_latest(
-    stream: DataFrame,
-    target: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    buckets: int = 64,
+    stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str | Column]
 ) -> StreamingQuery:
-    """Keep the newest version per key in ``target``, partitioned into hash buckets.
+    """Keep versions per key in ``target``; :func:`latest_versions` reads the newest of each.
 
-    Each batch reads only the buckets it touches, merges by version and overwrites just
-    those. The merge takes a maximum, so replaying a batch after a failure changes nothing.
-    No watermark: a late fetch is a version, not an event to drop.
+    A batch writes the newest version of its own keys to a folder of its own and reads nothing
+    of the target, so its work grows with the batch alone. A batch that is replayed after a
+    failure overwrites its own folder. No watermark: a late fetch is a version, not an event
+    to drop.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-        fresh = settle(latest_by(batch, keys, order).withColumn(BUCKET, bucket))
-        touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        held = existing(spark, target, fresh.schema)
-        merged = fresh if held is None else latest_by(
-            held.where(F.col(BUCKET).isin(*touched)).unionByName(fresh), list(keys), order
-        )
-        # Settled first: the rows come from the folders about to be replaced.
-        settle(merged).write.partitionBy(BUCKET).mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(target)
+    def keep(batch: DataFrame, number: int) -> None:
+        latest_by(batch, keys, order).write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
 
     return (
-        stream.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def existing(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.schema(schema).parquet(path) if system.exists(where) else None
+def latest_versions(
+    spark: SparkSession, target: str, schema: StructType, keys: Sequence[str], order: Sequence[str | Column]
+) -> DataFrame:
+    """The newest version of every key over all batches; of equal ones, the later batch's."""
+    if not existing(spark, target):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(StructType([*schema, StructField(BATCH, LongType())])).parquet(target)
+    return latest_by(rows, keys, [*order, BATCH]).select(*schema.names)
+
+
+def compact(
+    spark: SparkSession, target: str, fresh: str, schema: StructType, keys: Sequence[str], order: Sequence[str | Column]
+) -> None:
+    """Write the newest versions of ``target`` as the first batch of the empty folder ``fresh``.
+
+    Readers and the stream are pointed to ``fresh`` afterwards; ``target`` is left as it is.
+    """
+    latest_versions(spark, target, schema, keys, order).write.mode("overwrite").parquet(f"{fresh}/{BATCH}=-1")
+
+
+def existing(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def run_to_end(start: Callable[[], StreamingQuery]) -> None:
