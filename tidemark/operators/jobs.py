@@ -31,6 +31,19 @@ def bind_snapshots(snapshots: DataFrame, jobs: DataFrame) -> DataFrame:
     return by_id.unionByName(by_query.select(*by_id.columns))
 
 
+def unbound_snapshots(snapshots: DataFrame, jobs: DataFrame) -> DataFrame:
+    """(job_id, fingerprint) of snapshots that name no job and ask what a later version of one asks.
+
+    Only version 1 may bind by its query; for later versions such a snapshot lacks its identity.
+    """
+    none = F.array().cast("array<string>")
+    asked = jobs.where(F.col("request_version") > 1).select(
+        "job_id", F.explode(F.array_distinct(F.concat(F.array("query"), F.coalesce("query_aliases", none)))).alias("query")
+    )
+    loose = snapshots.where(F.col("job_id").isNull()).select("query", "fingerprint")
+    return loose.join(asked, "query").select("job_id", "fingerprint")
+
+
 def snapshot_summary(bound: DataFrame) -> DataFrame:
     """Snapshots and distinct fingerprints per job (historical or unbound sets)."""
     return bound.groupBy("job_id").agg(
@@ -53,12 +66,15 @@ def bundle_id(df: DataFrame, group: Sequence[str], version: Sequence[str], membe
     return df.groupBy(*group).agg(digest_id([*[F.lit(v) for v in version], members], 20).alias("bundle_id"))
 
 
-def job_status(jobs: DataFrame, snapshots: DataFrame, members: DataFrame) -> DataFrame:
+def job_status(
+    jobs: DataFrame, snapshots: DataFrame, members: DataFrame, unbound: DataFrame | None = None
+) -> DataFrame:
     """Status of every job: quarantined, complete, partial or not_started, with its errors.
 
     ``jobs``: job_id, minimum_expected_count. ``snapshots``: job_id, record_id, page,
     page_limit, total, returned, errors array<string>. ``members``: job_id, code, one row
-    per returned security.
+    per returned security. ``unbound``: rows of :func:`unbound_snapshots`; a job that has any is
+    quarantined, also when it has no snapshot of its own.
     """
     pages = snapshots.groupBy("job_id").agg(
         F.count(F.lit(1)).alias("snapshot_count"),
@@ -80,6 +96,11 @@ def job_status(jobs: DataFrame, snapshots: DataFrame, members: DataFrame) -> Dat
         F.count(F.lit(1)).alias("unique_security_count"), F.sum("__n").alias("__codes")
     )
     joined = jobs.join(pages, "job_id", "left").join(errors, "job_id", "left").join(codes, "job_id", "left")
+    if unbound is None:
+        joined = joined.withColumn("__loose", F.lit(None).cast("long"))
+    else:
+        loose = unbound.groupBy("job_id").agg(F.count(F.lit(1)).alias("__loose"))
+        joined = joined.join(loose, "job_id", "left")
     present = F.col("present_page_count")
     zero = F.lit(0).cast("long")
     unique, listed = F.coalesce("unique_security_count", zero), F.coalesce("__codes", zero)
@@ -99,11 +120,12 @@ def job_status(jobs: DataFrame, snapshots: DataFrame, members: DataFrame) -> Dat
             F.when(full & (unique != total), F.lit("unique_security_count_mismatch")),
             F.when(F.col("__total") < F.col("minimum_expected_count"), F.lit("below_minimum_expected_count")),
             F.when(~contiguous, F.lit("non_contiguous_pages")),
+            F.when(F.col("__loose") > 0, F.lit("collection_job_identity_missing")),
         )
     )
     none = F.array().cast("array<string>")
     all_errors = F.sort_array(F.array_distinct(F.concat(F.coalesce("snapshot_errors", none), found)))
-    started = F.col("snapshot_count").isNotNull()
+    started = F.col("snapshot_count").isNotNull() | F.col("__loose").isNotNull()
     quarantined = F.arrays_overlap(all_errors, F.array(*[F.lit(e) for e in QUARANTINE_ERRORS]))
     status = (
         F.when(~started, F.lit("not_started"))
@@ -111,7 +133,8 @@ def job_status(jobs: DataFrame, snapshots: DataFrame, members: DataFrame) -> Dat
         .when((F.size(all_errors) == 0) & full, F.lit("complete"))
         .otherwise(F.lit("partial"))
     )
-    next_page = F.when(~started, F.lit(1).cast("long")).when(
+    empty = F.col("snapshot_count").isNull() & (F.size(all_errors) == 0)
+    next_page = F.when(empty, F.lit(1).cast("long")).when(
         (F.size(all_errors) == 0) & contiguous & ~full, present + 1
     )
     return joined.select(
@@ -146,8 +169,8 @@ def import_assessment(collections: DataFrame, responses: DataFrame, members: Dat
         F.max("request_page").cast("long").alias("__last"),
         F.min("request_limit").cast("long").alias("__limit"),
         F.max("request_limit").cast("long").alias("__limit_hi"),
-        F.min("code_count").cast("long").alias("__total"),
-        F.max("code_count").cast("long").alias("__total_hi"),
+        F.min(F.when(F.col("code_count") >= 0, F.col("code_count"))).cast("long").alias("__total"),
+        F.max(F.when(F.col("code_count") >= 0, F.col("code_count"))).cast("long").alias("__total_hi"),
         F.count_if(F.coalesce(F.col("code_count") < 0, F.lit(True))).alias("__bad_total"),
         F.count_if(F.col("returned").isNull()).alias("__no_rows"),
         F.sum("returned").cast("long").alias("__returned"),
