@@ -96,29 +96,29 @@ def find_licenses(docs: DataFrame, templates: Sequence[Template], contained: flo
     text = words_of(F.col("text").cast("string"))
     once = F.array(let(text, lambda w: let(shingles_of(w), spotted)))
     held = docs.select("doc_id", F.inline(once)).where(F.size("spots") > 0)
-    windows = None
+    if not scales:
+        raise ValueError("no template of three words or more")
+    places = []
     for scale in scales:
         step = scale // 2
         width = scale + step - 1 - (WIDTH - 1)  # shingles of a window
-        # Window k begins at shingle k * step; those that hold shingle i run from first to last.
-        first = lambda i, w=width, s=step: F.greatest(F.lit(0), F.ceil((i - w + 1) / F.lit(s)).cast("int"))
-        last = lambda i, s=step: F.floor(i / F.lit(s)).cast("int")
-        here = held.select(
-            "doc_id",
-            F.lit(scale).alias("scale"),
-            "shingles",
-            F.explode(
-                F.array_distinct(F.flatten(F.transform("spots", lambda i: F.sequence(first(i), last(i)))))
-            ).alias("k"),
-        ).select(
-            "doc_id",
-            "scale",
-            (F.col("k") * step).cast("long").alias("first_word"),
-            F.array_distinct(F.slice("shingles", F.col("k") * step + 1, width)).alias("window"),
-        )
-        windows = here if windows is None else windows.unionByName(here)
-    if windows is None:
-        raise ValueError("no template of three words or more")
+
+        def around(spot: Column, width: int = width, step: int = step) -> Column:
+            """Window k begins at shingle k * step; the windows that hold the shingle at ``spot``."""
+            first = F.greatest(F.lit(0), F.ceil((spot - width + 1) / F.lit(step)).cast("int"))
+            return F.sequence(first, F.floor(spot / F.lit(step)).cast("int"))
+
+        def place(k: Column, scale: int = scale, width: int = width, step: int = step) -> Column:
+            return F.struct(F.lit(scale).alias("scale"), (k * step).alias("first_word"), F.lit(width).alias("width"))
+
+        held_by = F.array_distinct(F.flatten(F.transform("spots", lambda spot: around(spot))))
+        places.append(F.transform(held_by, lambda k: place(k)))
+    windows = held.select("doc_id", "shingles", F.inline(F.concat(*places))).select(
+        "doc_id",
+        "scale",
+        F.col("first_word").cast("long").alias("first_word"),
+        F.array_distinct(F.slice("shingles", F.col("first_word") + 1, F.col("width"))).alias("window"),
+    )
     keyed = windows.select("doc_id", "scale", "first_word", "window", F.posexplode(let(F.col("window"), band_values)).alias("band", "value"))
     near = keyed.join(F.broadcast(bands), ["scale", "band", "value"])
     shared = F.size(F.array_intersect("window", "template")) / F.size("template")
