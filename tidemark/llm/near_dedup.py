@@ -158,8 +158,8 @@ def _keys(reps: DataFrame, chunks: int) -> DataFrame:
     return reps.select("rep", "sig").mapInArrow(keys_of, "key long, rep long")
 
 
-def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning links of the classes of ``n`` members under ``linked(member, others)``.
+def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Labels of the classes of ``n`` members under ``linked(member, others)``.
 
     Members are tried in ``order`` against all that are not in their class yet; one that a
     former test has reached is passed over at first. In the end all but the largest class
@@ -167,7 +167,6 @@ def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.n
     the other.
     """
     label, reached, tried = np.arange(n), np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
-    links: list[tuple[int, int]] = []
 
     def attempt(m: int) -> None:
         tried[m] = True
@@ -176,9 +175,7 @@ def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.n
             return
         hits = others[linked(m, others)]
         if len(hits):
-            fresh, where = np.unique(label[hits], return_index=True)
-            links.extend((m, int(hits[w])) for w in where)
-            label[np.isin(label, fresh)] = label[m]
+            label[np.isin(label, label[hits])] = label[m]
             reached[hits] = True
 
     for m in order:
@@ -188,7 +185,16 @@ def closure(n: int, linked: Callable[[int, np.ndarray], np.ndarray], order: np.n
     for m in order:
         if not tried[m] and label[m] != label[inside]:
             attempt(int(m))
-    return links
+    return label
+
+
+def stars(label: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of every member to the smallest of its class; the same smallest in many groups gives
+    the same links, which leaves little to connect."""
+    least = np.full(len(label), np.iinfo(np.int64).max)
+    np.minimum.at(least, label, rep)
+    root = least[label]
+    return root[root != rep], rep[root != rep]
 
 
 def _bucket_links(rows: DataFrame, similarity: tuple[int, int], chunks: int) -> DataFrame:
@@ -227,9 +233,10 @@ def _bucket_links(rows: DataFrame, similarity: tuple[int, int], chunks: int) ->
             for s, e in zip(starts, ends, strict=True):
                 if e - s > 2:
                     part_sig, part_n = sig[s:e], n[s:e]
-                    found = closure(e - s, lambda m, o, x=part_sig, y=part_n: near(x, y, m, o), np.arange(e - s))
-                    a.extend(rep[s + x] for x, _ in found)
-                    b.extend(rep[s + y] for _, y in found)
+                    label = closure(e - s, lambda m, o, x=part_sig, y=part_n: near(x, y, m, o), np.arange(e - s))
+                    roots, members = stars(label, rep[s:e])
+                    a.extend(roots)
+                    b.extend(members)
             rest = whole.slice(int(ends[-1]) if len(ends) else 0)
             held[:] = rest.to_batches() if not final else []
             pairs = np.unique(np.sort(np.array([a, b], dtype=np.int64).T, axis=1), axis=0) if a else np.empty((0, 2), np.int64)
@@ -287,8 +294,8 @@ def _verified(members: DataFrame, width: int, similarity: tuple[int, int], chunk
             return ok
 
         order = np.argsort((sig != common).sum(axis=1), kind="stable")
-        links = np.array(closure(len(rep), similar, order), dtype=np.int64).reshape(-1, 2)
-        return pa.table({"a": rep[links[:, 0]], "b": rep[links[:, 1]]})
+        roots, found = stars(closure(len(rep), similar, order), rep)
+        return pa.table({"a": roots, "b": found})
 
     return members.groupBy("group", "i", "j").applyInArrow(verify, "a long, b long")
 
