@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as tx
 from tidemark.operators import content as ct
 from tidemark.operators import coverage as cv
+from tidemark.operators import jobs as jb
 from tidemark.operators import portfolio as pf
 from tidemark.operators import quality as q
 from tidemark.operators import scan
 from tidemark.operators import versions as v
+from tidemark.plans import marts
 from tidemark.plans.registry import register, table
 
 #: The rules of the taxonomy query; the first with a hit wins.
@@ -316,3 +318,46 @@ def best_bundle(spark: SparkSession, folder: str) -> DataFrame:
 def portfolio_weights(spark: SparkSession, folder: str) -> DataFrame:
     rows = pf.weights(table(spark, folder, "supplier"), "s_acctbal", "s_nationkey")
     return rows.select("s_suppkey", "s_nationkey", F.round("actual_weight", 9).alias("actual_weight"))
+
+
+# --- rules, work and serving --------------------------------------------------------
+@register(
+    "rule_violations",
+    """SELECT l_orderkey, l_linenumber, 'discount_above_tax' AS rule_id FROM lineitem WHERE l_discount > l_tax
+UNION ALL SELECT l_orderkey, l_linenumber, 'few_pieces' FROM lineitem WHERE l_quantity < 5
+UNION ALL SELECT l_orderkey, l_linenumber, 'returned_while_open' FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'O'""",
+)
+def rule_violations(spark: SparkSession, folder: str) -> DataFrame:
+    rules = [
+        q.Rule("discount_above_tax", F.col("l_discount") > F.col("l_tax")),
+        q.Rule("few_pieces", F.col("l_quantity") < 5),
+        q.Rule("returned_while_open", (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")),
+    ]
+    return q.violations(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], rules)
+
+
+@register(
+    "work_discovery",
+    """SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'up_to_date' ELSE 'planned' END AS work_status FROM documents""",
+)
+def work_discovery(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that have a label are done; the others are planned."""
+    docs = table(spark, folder, "documents").select("doc_id")
+    return jb.work_status(docs, table(spark, folder, "labels"), ["doc_id"])
+
+
+@register(
+    "company_360",
+    """SELECT c_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS order_count,
+  (SELECT count(*) FROM events WHERE user_id = c_custkey) AS event_count, left(sha256(c_custkey::VARCHAR), 1) AS detail_shard FROM customer""",
+)
+def company_360(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with the numbers of their orders and events, each counted before it is joined."""
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("key"))
+    children = {
+        "order": table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("key")),
+        "event": table(spark, folder, "events").select(F.col("user_id").cast("string").alias("key")),
+    }
+    index = marts.company_index(customers, children, "key")
+    return index.select(F.col("key").cast("long").alias("c_custkey"), "order_count", "event_count", "detail_shard")
+
