@@ -14,7 +14,7 @@ from tidemark.llm import license_scan as ls
 from tidemark.llm import neighbours as nb
 from tidemark.llm import quality as ql
 from tidemark.llm.byte_gru import WIDTH, ByteGru, windows_of
-from tidemark.llm.queries import LICENSE_NOTICES, URL_RULES
+from tidemark.llm.queries import LICENSE_NOTICES, SIBLING_NOTICES, URL_RULES
 from tidemark.llm.url_filter import judge_urls
 
 # language ID
@@ -247,3 +247,29 @@ def test_licences(spark):
     loose = {(r.doc_id, r.license) for r in ls.find_licenses(docs, LICENSE_NOTICES, contained=0.7).collect()}
     assert (5, "MIT") in loose
     assert ls.find_licenses(docs.where("false"), LICENSE_NOTICES).count() == 0
+
+
+def test_sibling_licences(spark):
+    """Every notice, alone and beside another, names its own licence and no sibling."""
+    notices = LICENSE_NOTICES + SIBLING_NOTICES
+    pad = " ".join(f"word{i}" for i in range(40))
+    gpl = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{}"
+    later = ", or (at your option) any later version. "
+    written_out = [
+        ("GPL-2.0", gpl.format("General Public License", "; either version 2 of the License" + later)),
+        ("GPL-2.0", gpl.format("General Public License", "; either version 2 of the Licence" + later)),
+        ("GPL-3.0", gpl.format("General Public License", ", either version 3 of the License" + later)),
+        ("LGPL-2.1", gpl.format("Lesser General Public License", "; either version 2.1 of the License" + later)),
+        ("LGPL-3.0", gpl.format("Lesser General Public License", ", either version 3 of the License" + later)),
+        ("AGPL-3.0", gpl.format("Affero General Public License", ", either version 3 of the License" + later)),
+    ]
+    texts = [({name}, f"{pad[: 7 * i]} {text}. {pad}") for i, (name, text) in enumerate(notices + written_out)]
+    both = [(n, t) for n, t in notices if t.startswith("This work")]
+    texts += [({a, b}, f"{s}. {t}.") for a, s in both for b, t in both if a != b]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    docs = docs.unionByName(spark.createDataFrame([(-1, t) for _, t in notices], docs.schema))  # rows of one id do not compete
+    got = {}
+    for r in ls.find_licenses(docs, notices).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got.pop(-1) == {n for n, _ in notices}
+    assert [(t, got.get(i)) for i, (want, t) in enumerate(texts) if got.get(i) != want] == []

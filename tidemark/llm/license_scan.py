@@ -14,6 +14,13 @@ of the template's band-minimal shingles, and values are computed for just those
 the result is that of computing them for all. Only DataFrame functions are used, texts
 stay in their rows, and what is joined is the list of templates, which is part of the code.
 
+Notices of sibling licences hold most of each other's shingles. A match lies where the
+most of its template's shingles stand in about the template's order: their shifts against it
+differ by at most a quarter of its size. Two matches of a text are at one
+place when they share at least half of the positions of the one with fewer. There the match
+whose shingles found exceed those missing by more wins over one of another licence; if equal,
+the one with the better containment. Matches that are equal in both are all kept.
+
 A null text, or one of fewer than three words, has no notice. Notices of repeated rows of
 one ``doc_id`` count for each of them. Extra columns are left out.
 """
@@ -28,6 +35,8 @@ from pyspark.sql import functions as F
 #: (licence, text of a notice).
 Template = tuple[str, str]
 WIDTH, BANDS = 3, 48
+#: Positions of a cell. Matches at one place share a cell, and few windows touch a cell.
+CELL = 64
 _CLASSES = [6 * 2**k for k in range(12)]
 
 
@@ -56,22 +65,46 @@ def band_values(shingles: Column) -> Column:
 
 
 def _templates(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:
-    """(license, scale, shingles, bands) of every template of three words or more."""
+    """(number, license, scale, template, bands) of every template of three words or more."""
     spark = docs.sparkSession
     scale = F.lit(_CLASSES[-1])
     for c in reversed(_CLASSES[:-1]):
         scale = F.when(F.col("n_words") <= c, F.lit(c)).otherwise(scale)
-    words = spark.createDataFrame(list(templates), "license string, text string").select(
-        "license", words_of(F.col("text")).alias("words")
+    numbered = [(i, *t) for i, t in enumerate(templates)]
+    words = spark.createDataFrame(numbered, "number int, license string, text string").select(
+        "number", "license", words_of(F.col("text")).alias("words")
     )
     return (
         words.withColumn("n_words", F.size("words"))
         .where(F.col("n_words") >= WIDTH)
-        .select("license", scale.alias("scale"), F.array_distinct(let(F.col("words"), shingles_of)).alias("template"))
+        .select("number", "license", scale.alias("scale"), F.array_distinct(let(F.col("words"), shingles_of)).alias("template"))
         .withColumn("bands", let(F.col("template"), band_values))
     )
 
 
+def _unbeaten(matches: DataFrame) -> DataFrame:
+    """The matches that no better one of another licence beats at the same place of a text."""
+    match = F.struct("license", "first_word", "containment", "lead", "at")
+    cells = F.array_distinct(F.transform("at", lambda p: F.floor(p / F.lit(CELL))))
+
+    def beats(y: Column, x: Column) -> Column:
+        better = (y["lead"] > x["lead"]) | ((y["lead"] == x["lead"]) & (y["containment"] > x["containment"]))
+        shared = 2 * F.size(F.array_intersect(x["at"], y["at"])) >= F.least(F.size(x["at"]), F.size(y["at"]))
+        return (y["license"] != x["license"]) & better & shared
+
+    return (
+        matches.select("doc_id", "print", match.alias("match"), F.explode(cells).alias("cell"))
+        .groupBy("doc_id", "print", "cell")
+        .agg(F.collect_set("match").alias("all"))
+        .select("doc_id", "print", "all", F.explode("all").alias("match"))
+        .withColumn("beaten", F.exists("all", lambda y: beats(y, F.col("match"))))
+        .groupBy("doc_id", "print", "match")
+        .agg(F.bool_or("beaten").alias("beaten"))
+        .where(~F.col("beaten"))
+        .select("doc_id", "match.*")
+    )
+
+
 def find_licenses(docs: DataFrame, templates: Sequence[Template], contained: float = 0.8) -> DataFrame:
     """doc_id, license, first_word, containment: the best window of each licence in each document."""
     known = _templates(docs, templates)
@@ -86,7 +119,7 @@ def find_licenses(docs: DataFrame, templates: Sequence[Template], contained: flo
         .distinct()
         .collect()
     ]
-    bands = known.select("license", "scale", "template", F.posexplode("bands").alias("band", "value"))
+    bands = known.select("number", "license", "scale", "template", F.posexplode("bands").alias("band", "value"))
 
     def spotted(shingles: Column) -> Column:
         spots = F.array_compact(F.transform(shingles, lambda h, i: F.when(h.isin(anchors), i)))
@@ -95,7 +128,9 @@ def find_licenses(docs: DataFrame, templates: Sequence[Template], contained: flo
     # A generator is not merged with what stands above it, so a text is split once.
     text = words_of(F.col("text").cast("string"))
     once = F.array(let(text, lambda w: let(shingles_of(w), spotted)))
-    held = docs.select("doc_id", F.inline(once)).where(F.size("spots") > 0)
+    # Rows of one doc_id are told apart by their text, so their matches do not compete.
+    held = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("print"), F.inline(once))
+    held = held.where(F.size("spots") > 0)
     if not scales:
         raise ValueError("no template of three words or more")
     places = []
@@ -113,18 +148,54 @@ def find_licenses(docs: DataFrame, templates: Sequence[Template], contained: flo
 
         held_by = F.array_distinct(F.flatten(F.transform("spots", lambda spot: around(spot))))
         places.append(F.transform(held_by, lambda k: place(k)))
-    windows = held.select("doc_id", "shingles", F.inline(F.concat(*places))).select(
+    windows = held.select("doc_id", "print", "shingles", F.inline(F.concat(*places))).select(
         "doc_id",
+        "print",
         "scale",
         F.col("first_word").cast("long").alias("first_word"),
-        F.array_distinct(F.slice("shingles", F.col("first_word") + 1, F.col("width"))).alias("window"),
+        F.slice("shingles", F.col("first_word") + 1, F.col("width")).alias("window"),
     )
-    keyed = windows.select("doc_id", "scale", "first_word", "window", F.posexplode(let(F.col("window"), band_values)).alias("band", "value"))
+    keyed = windows.select("doc_id", "print", "scale", "first_word", "window", F.posexplode(let(F.col("window"), band_values)).alias("band", "value"))
     near = keyed.join(F.broadcast(bands), ["scale", "band", "value"])
-    shared = F.size(F.array_intersect("window", "template")) / F.size("template")
-    return (
-        near.withColumn("containment", shared)
+    shared, whole = F.size(F.array_intersect("window", "template")), F.size("template")
+    hits = F.array_compact(
+        F.transform(
+            "window",
+            lambda h, i: F.when(
+                F.array_contains("template", h),
+                F.struct(
+                    (F.col("first_word") + i - F.array_position("template", h)).alias("shift"),
+                    (F.col("first_word") + i).alias("p"),
+                    h.alias("h"),
+                ),
+            ),
+        )
+    )
+    slack = F.floor(whole / F.lit(4))
+
+    def lies(hits: Column) -> Column:
+        """(found, at): the shifts with the most of the template's shingles, the least of several."""
+        near_by = lambda s: F.filter(hits, lambda x: x["shift"].between(s["shift"], s["shift"] + slack))
+        counted = F.transform(
+            hits,
+            lambda s: let(
+                near_by(s),
+                lambda x: F.struct(F.size(F.array_distinct(x["h"])).alias("found"), (-s["shift"]).alias("n"), x["p"].alias("at")),
+            ),
+        )
+        return F.array_max(counted)
+
+    matches = (
+        near.withColumn("containment", shared / whole)
         .where(F.col("containment") >= contained)
+        .dropDuplicates(["doc_id", "print", "first_word", "number"])
+        .withColumn("lies", let(hits, lies))
+        .select(
+            "doc_id", "print", "license", "first_word", "containment", (2 * F.col("lies.found") - whole).alias("lead"), "lies.at"
+        )
+    )
+    return (
+        _unbeaten(matches)
         .groupBy("doc_id", "license")
         .agg(
             F.max("containment").alias("containment"),

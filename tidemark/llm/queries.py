@@ -160,9 +160,44 @@ LICENSE_NOTICES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 ]
 
+_GPL = "under the terms of the GNU {}General Public License as published by the Free Software Foundation"
+_CC = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License"
+_GNU = "This work is licensed under the GNU {}General Public License, version {}"
+#: Notices that hold most of a notice above and name another licence, or another version of it. A header
+#: without a version counts as the version it has here; the GPL's counts as GPL-3.0, as above.
+SIBLING_NOTICES = [
+    ("AGPL-3.0", _GPL.format("Affero ")),
+    ("AGPL-3.0", _GPL.format("Affero ") + ", either version 3 of the License"),
+    ("AGPL-3.0", _GNU.format("Affero ", "3")),
+    ("CC-BY-NC-4.0", _CC.format("NonCommercial")),
+    ("CC-BY-NC-ND-4.0", _CC.format("NonCommercial-NoDerivatives")),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("CC-BY-NC-SA-4.0", _CC.format("NonCommercial-ShareAlike")),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-ND-4.0", _CC.format("NoDerivatives")),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-SA-4.0", _CC.format("ShareAlike")),
+    ("GPL-2.0", _GPL.format("") + "; either version 2 of the License"),
+    ("GPL-2.0", _GPL.format("") + "; version 2 of the License"),
+    ("GPL-2.0", _GNU.format("", "2")),
+    ("GPL-3.0", _GPL.format("") + ", either version 3 of the License"),
+    ("GPL-3.0", _GPL.format("") + ", version 3 of the License"),
+    ("LGPL-2.0", _GPL.format("Library ")),
+    ("LGPL-2.0", _GPL.format("Library ") + "; either version 2 of the License"),
+    ("LGPL-2.1", _GPL.format("Lesser ") + "; either version 2.1 of the License"),
+    ("LGPL-2.1", _GPL.format("Lesser ") + "; version 2.1 of the License"),
+    ("LGPL-2.1", _GNU.format("Lesser ", "2.1")),
+    ("LGPL-3.0", _GPL.format("Lesser ")),
+    ("LGPL-3.0", _GPL.format("Lesser ") + ", either version 3 of the License"),
+    ("LGPL-3.0", _GNU.format("Lesser ", "3")),
+]
+
 
 def _sql_licenses() -> str:
-    """The same by brute force: containment of every template in every window of its scale."""
+    """By brute force: containment of every template in every window of its scale.
+
+    Of the notices above only, each for itself: it does not know siblings and differs on texts that have them.
+    """
     names = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(LICENSE_NOTICES))
     words = "list_filter(regexp_split_to_array(lower(coalesce({t}, '')), '[^a-z0-9]+'), lambda x: x <> '')"
     return f"""WITH t AS (SELECT t, license, {words.format(t="text")} AS w FROM (VALUES {names}) v(t, license, text)),
@@ -185,7 +220,7 @@ SELECT d.doc_id, coalesce(string_agg(license, ',' ORDER BY license), '') AS lice
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = (
-        find_licenses(docs, LICENSE_NOTICES)
+        find_licenses(docs, LICENSE_NOTICES + SIBLING_NOTICES)
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_set("license")).alias("names"), F.max("containment").alias("containment"))
     )
