@@ -160,6 +160,39 @@ def test_recall_at_the_production_share(spark, sf_small):
     assert hits >= 0.9 * 5 * (ids % 50 == 0).sum()
 
 
+@pytest.mark.parametrize("n", [4, 5, 6, 7])
+def test_few_vectors_have_all_neighbours(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 24))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [(r.query_id, r["rank"], r.vec_id) for r in nb.nearest(frame, F.col("vec_id") >= 0).collect()]
+    ids = np.arange(n)
+    assert sorted(got) == [(q, i + 1, v) for q in range(n) for i, (v, _) in enumerate(brute_nearest(ids, x, q, 5))]
+
+
+def test_hot_copies_at_the_production_share(spark):
+    """Copies take one list only, so the other queries look into their share of the rest."""
+    x = np.random.default_rng(4).normal(size=(600, 24)).astype(np.float32).astype(np.float64)
+    x[200:400] = x[200]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert len(np.unique((unit @ nb.centres(unit, nb.LISTS).T).argmax(axis=1))) == nb.LISTS
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nb.nearest(frame, F.col("vec_id") % 10 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert sorted(got) == list(range(0, 600, 10)) and all(sorted(f) == [1, 2, 3, 4, 5] for f in got.values())
+    kth = {q: brute_nearest(np.arange(600), x, q, 5)[-1][1] for q in got}
+    hits = sum(score >= kth[q] - 1e-12 for q, found in got.items() for _, score in found.values())
+    assert hits >= 0.9 * 5 * len(got)
+
+
+def test_scan_keeps_k_candidates():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        x = rng.normal(size=(12, 24)) * np.linspace(3, 0.1, 24)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        assert len(nb.scan(x[0], [x[:, i : i + 8] for i in range(0, 24, 8)], 5, 0)) >= 5
+
+
 # urls
 
 

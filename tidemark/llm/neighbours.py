@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by cosine: an inverted file with an adaptive dimension scan.
 
 Vectors are brought to length one, turned by a random rotation and dealt to the list of
-their nearest centre. A query looks into its nearest lists. There, candidates lie in
+their nearest centre. A query looks into a share of the lists that hold a vector, nearest
+first, and into further ones until they hold ``k`` vectors besides itself. There, candidates lie in
 column blocks: after each block of dimensions the partial squared distances are put to a
 hypothesis test, and a candidate whose distance, estimated from the dimensions seen, is
 too far beyond the query's present k-th is abandoned. Whoever survives all dimensions is
 scored exactly, in double precision on the original vectors.
 
-Centres are fitted on a bounded sample; every vector is indexed. A list is scanned in
+Centres are fitted on a bounded sample and drawn from its distinct vectors; every vector is indexed. A list is scanned in
 groups of bounded numbers of candidates and queries, chosen by hash, so a list with a
 third of all vectors is many groups. Vectors that are null, of length zero, or that hold
 a null or non-finite component take no part, nor do those whose number of components is
@@ -17,7 +18,7 @@ ties go to the smaller ``vec_id``. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import arrow_batch, written
 
-#: Lists, the share of them that a query looks into, and vectors that the centres are fitted on.
+#: Lists, the share of those not empty that a query looks into, and vectors that the centres are fitted on.
 LISTS, PROBED, SAMPLED = 64, 0.7, 16_384
 #: Candidates and queries of one group.
 CANDIDATES, QUERIES = 8_192, 1_024
@@ -68,9 +69,10 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def centres(sample: np.ndarray, lists: int, rounds: int = 10, seed: int = 3) -> np.ndarray:
-    """Spherical k-means of unit vectors."""
+    """Spherical k-means of unit vectors; no two centres begin at copies of one vector."""
     rng = np.random.default_rng(seed)
-    found = sample[rng.choice(len(sample), min(lists, len(sample)), replace=False)].copy()
+    distinct = np.sort(np.unique(sample.round(9), axis=0, return_index=True)[1])
+    found = sample[rng.choice(distinct, min(lists, len(distinct)), replace=False)].copy()
     for _ in range(rounds):
         nearest = (sample @ found.T).argmax(axis=1)
         sums = np.zeros_like(found)
@@ -82,7 +84,7 @@ def centres(sample: np.ndarray, lists: int, rounds: int = 10, seed: int = 3) ->
 
 
 def scan(query: np.ndarray, blocks: list[np.ndarray], k: int, skip: int) -> np.ndarray:
-    """Candidates that outlive every test, by squared distance of unit vectors.
+    """Candidates that outlive every test, and ``k`` at least, by squared distance of unit vectors.
 
     ``blocks``: column blocks of the candidates; ``skip``: the query's own place, or -1.
     """
@@ -104,7 +106,7 @@ def scan(query: np.ndarray, blocks: list[np.ndarray], k: int, skip: int) -> np.n
         alive, partial = alive[live], partial[live]
         partial = partial + ((block[alive] - query[at : at + block.shape[1]]) ** 2).sum(axis=1)
         at += block.shape[1]
-    return alive[partial <= kth + 1e-5]
+    return np.union1d(alive[partial <= kth + 1e-5], best)
 
 
 def nearest(
@@ -141,9 +143,12 @@ def nearest(
         or [[v] for v in (_unit(np.array([sound.first()["vector"]])) @ turn).tolist()]
     )
     fitted = spark.sparkContext.broadcast(np.array([r[0] for r in rows]))
-    many = max(1, int(np.ceil(probed * len(rows))))
 
-    def deal(count: int):
+    def own_list(near: np.ndarray) -> np.ndarray:
+        return near.argmax(axis=1)[:, None] == np.arange(near.shape[1])
+
+    def deal(chosen: Callable[[np.ndarray], np.ndarray]):
+        """``chosen``: which lists a row goes to, from its closeness to every centre."""
         schema = pa.schema(
             [("list", pa.int32()), ("vec_id", pa.int64()), ("turned", pa.binary()), ("vector", pa.list_(pa.float64()))]
         )
@@ -153,14 +158,12 @@ def nearest(
                 if not batch.num_rows:
                     continue
                 turned = _unit(_rows(batch.column(1))) @ turn
-                near = turned @ fitted.value.T
-                chosen = np.argpartition(-near, count - 1, axis=1)[:, :count]
+                each, lists_of = np.nonzero(chosen(turned @ fitted.value.T))
                 raw = [t.tobytes() for t in turned.astype("<f4")]
-                each = np.repeat(np.arange(len(raw)), count)
                 yield arrow_batch(
                     schema,
                     {
-                        "list": chosen.ravel().astype(np.int32),
+                        "list": lists_of.astype(np.int32),
                         "vec_id": batch.column(0).to_numpy()[each],
                         "turned": [raw[i] for i in each],
                         "vector": batch.column(1).take(pa.array(each)),
@@ -169,8 +172,20 @@ def nearest(
 
         return lambda df: df.mapInArrow(assign, "list int, vec_id long, turned binary, vector array<double>")
 
-    base = written(deal(1)(sound), "vector-lists")
-    asked = written(deal(many)(sound.where(is_query)), "vector-queries")
+    base = written(deal(own_list)(sound), "vector-lists")
+    held = np.zeros(len(rows), dtype=np.int64)  # one number for each list
+    for r in base.groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+    many = max(1, int(np.ceil(probed * (held > 0).sum())))
+
+    def near_lists(near: np.ndarray) -> np.ndarray:
+        order = np.argsort(np.where(held > 0, -near, np.inf), axis=1, kind="stable")
+        short = (held[order].cumsum(axis=1) <= k).sum(axis=1)  # the query itself is among the vectors held
+        taken = np.zeros(near.shape, dtype=bool)
+        np.put_along_axis(taken, order, np.arange(len(held)) < np.maximum(many, short + 1)[:, None], axis=1)
+        return taken & (held > 0)
+
+    asked = written(deal(near_lists)(sound.where(is_query)), "vector-queries")
 
     def blocks(df: DataFrame, bound: int, name: str) -> DataFrame:
         return df.groupBy("list").agg(F.ceil(F.count("*") / F.lit(bound)).cast("int").alias(name))
