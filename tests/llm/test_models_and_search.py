@@ -14,7 +14,7 @@ from tidemark.llm import license_scan as ls
 from tidemark.llm import neighbours as nb
 from tidemark.llm import quality as ql
 from tidemark.llm.byte_gru import WIDTH, ByteGru, windows_of
-from tidemark.llm.queries import LICENSE_NOTICES, SIBLING_NOTICES, URL_RULES
+from tidemark.llm.queries import LICENSE_NOTICES, QUERIES, SIBLING_NOTICES, URL_RULES
 from tidemark.llm.url_filter import judge_urls
 
 # language ID
@@ -252,6 +252,20 @@ def test_ranks_equal_power_iteration(spark):
         assert all(abs(got[h][side] - rank[at[h]]) < 1e-9 for h in hosts if h in got)
 
 
+def test_walks_go_on_until_settled(spark, tmp_path):
+    """A chain of 20 hosts to a blocked one, and two hosts that link to each other."""
+    hosts = [f"h{i}.org" for i in range(20)]
+    pages = [(i, f"http://{a}/", f'<a href="http://{b}/">') for i, (a, b) in enumerate(zip(hosts, [*hosts[1:], "bad.net"], strict=True))]
+    pages += [(20, "http://bad.net/es/", None), (21, "http://good.com/", '<a href="http://x.org/">')]
+    pages += [(22, "http://x.org/", '<a href="http://y.org/">'), (23, "http://y.org/", '<a href="http://x.org/">')]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.host: r for r in QUERIES["op3_url_filter"](spark, str(tmp_path)).collect()}
+    for i, h in enumerate(hosts):
+        assert got[h].verdict == "block" and abs(got[h].distrust - 0.15 * 0.85 ** (20 - i)) < 1e-9
+    # x = 0.85 * (0.15 + y), y = 0.85 * x in the limit
+    assert abs(got["x.org"].trust - 0.1275 / (1 - 0.7225)) < 2e-6 and got["y.org"].verdict == "allow"
+
+
 # licences
 
 

@@ -108,7 +108,7 @@ URL_RULES = [
 
 @query("op3_url_filter")
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return judge_urls(table(spark, folder, "pages"), URL_RULES)
+    return judge_urls(table(spark, folder, "pages"), URL_RULES, steps=None)
 
 
 @query(

@@ -7,7 +7,11 @@ and a host is blocked when its distrust is larger than ``threshold`` times its t
 
 Only DataFrame operations are used. Links are summed to one weighted row for each pair of
 hosts before any iteration; one join and one sum carry both walks a step further, and every
-few steps the ranks are written to the shared folder. What is kept for a host is two
+few steps the ranks are written to the shared folder. The walks go on until no host is new
+to either and the ranks of all hosts together changed by at most ``TOLERANCE`` since they were
+last written, or by rounding alone (``ROUNDING`` of the mass of the seeds), so a chain of
+hosts takes as many steps as it has links. A number of ``steps`` ends them there instead, with
+ranks that may still change. A rank too small for a double is 0. What is kept for a host is two
 numbers, so a host with a third of all pages is one row.
 
 A null url, or one without ``://``, has an empty host and path and is judged like a host
@@ -18,6 +22,7 @@ null ``html`` has no links; extra columns are left out.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +31,8 @@ from tidemark.llm.common import written
 
 #: A rule: verdict, host, path. A list of rules is part of the query and compared one by one.
 Rule = tuple[str, str, str]
+#: Summed change of all ranks over ``settle_every`` steps at which they are settled.
+TOLERANCE, ROUNDING = 1e-6, 1e-12
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A link to another host inside a page; groups: scheme, host.
 _LINK = r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.\-]*:)?//([^/?#"'<>\s]+)"""
@@ -69,8 +76,21 @@ def host_links(judged: DataFrame) -> DataFrame:
     )
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float, steps: int, settle_every: int) -> DataFrame:
-    """(host, trust, distrust) after ``steps`` steps from ``seeds`` of the same columns."""
+def _change(before: DataFrame, after: DataFrame) -> tuple[float, int]:
+    """Summed change of trust and distrust, and how many ranks are new."""
+    pairs = before.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d")).join(after, "host", "full")
+    was_t, was_d, t, d = (F.coalesce(c, F.lit(0.0)) for c in ("t", "d", "trust", "distrust"))
+    row = pairs.agg(
+        F.coalesce(F.sum(F.abs(t - was_t) + F.abs(d - was_d)), F.lit(0.0)).alias("change"),
+        (F.count_if((t > 0) & (was_t == 0)) + F.count_if((d > 0) & (was_d == 0))).alias("new"),
+    ).first()
+    return row["change"], row["new"]
+
+
+def propagate(
+    seeds: DataFrame, links: DataFrame, damping: float, steps: int | None, settle_every: int
+) -> DataFrame:
+    """(host, trust, distrust) from ``seeds`` of the same columns: after ``steps`` steps, or settled if null."""
     both = links.select("source", "target", "weight", F.lit(True).alias("forward")).unionByName(
         links.select(
             F.col("target").alias("source"), F.col("source").alias("target"), "weight", F.lit(False).alias("forward")
@@ -86,8 +106,9 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float, steps: int, se
     if edges.isEmpty():
         return seeds
     start = seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
-    ranks = seeds
-    for step in range(1, steps + 1):
+    mass = seeds.agg(F.coalesce(F.sum(F.col("trust") + F.col("distrust")), F.lit(0.0))).first()[0]
+    ranks = settled = seeds
+    for step in count(1):
         moved = edges.join(ranks.withColumnRenamed("host", "source"), "source").select(
             F.col("target").alias("host"),
             (damping * F.when(F.col("forward"), F.col("trust") * F.col("share")).otherwise(0.0)).alias("trust"),
@@ -98,8 +119,15 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float, steps: int, se
             .groupBy("host")
             .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         )
-        if step % settle_every == 0 and step < steps:
+        if step == steps:
+            break
+        if step % settle_every == 0:
             ranks = written(ranks, "host-ranks")
+            if steps is None:
+                change, new = _change(settled, ranks)
+                if not new and change <= max(TOLERANCE, ROUNDING * mass):
+                    break
+                settled = ranks
     return ranks
 
 
@@ -108,10 +136,13 @@ def judge_urls(
     rules: Sequence[Rule],
     threshold: float = 1.0,
     damping: float = 0.85,
-    steps: int = 12,
+    steps: int | None = 12,
     settle_every: int = 3,
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict, and the host's trust and distrust (0 if none reached it)."""
+    """page_id, host, path, rule, verdict, and the host's trust and distrust (0 if none reached it).
+
+    ``steps``: null goes on until the ranks are settled, a number stops there.
+    """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     judged = (
         pages.select("page_id", after_scheme(url).alias("rest"), F.col("html").cast("string").alias("html"))
