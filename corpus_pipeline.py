@@ -21,8 +21,15 @@ LEAST_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter and a language that the network is sure enough of."""
-    found = lid.identify(docs)
+    """Documents with a letter and a language that the network is sure enough of.
+
+    The network learns from the documents outside the held-out third that have a language and
+    a text. Where there is none, nothing can be judged, and all documents with a letter stay.
+    """
+    network = lid.train(docs.where(~lid.held_out()))
+    if network is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    found = lid.predict(docs, network)
     kept = found.where((F.col("lang_pred") != lid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return kept.select(*docs.columns)
 

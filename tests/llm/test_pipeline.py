@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tests.llm.test_text_operators import brute_components, brute_lines, brute_passages
 from tidemark.llm.common import written
+from tidemark.llm.language_id import held_out
 
 
 def rows_of(df):
@@ -57,3 +59,13 @@ def test_run_and_empty_tables(spark, sf_small, documents):
     empty = documents.where("false")
     for _, stage in cp.STAGES:
         assert stage(spark, empty, sf_small).count() == 0
+
+
+def test_documents_stay_without_any_language(spark, sf_small):
+    """Null languages everywhere, or only in held-out documents, leave no network to judge by."""
+    rows = [(i, t, None) for i, t in enumerate(["some text", "\u0436\u0438", "\u65e5\u672c", "1 2 ; 3", "", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labelled = docs.withColumn("lang", F.when(held_out(), F.lit("en")))
+    for table in (docs, labelled):
+        kept = cp.language_id(spark, table, sf_small)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
