@@ -76,6 +76,21 @@ def test_texts_are_not_cut(spark):
     assert "deep" in row.inner.split() and "[" not in row.inner
 
 
+def test_texts_quoted_too_often_are_unverifiable(spark):
+    """Quotes and backslashes as escapes grow by five characters a level, so 25 levels are a short text."""
+
+    def quoted(text: str, levels: int) -> str:
+        for _ in range(levels):
+            text = '"' + text.replace("\\", "\\u005c").replace('"', "\\u0022") + '"'
+        return text
+
+    rows = [(0, "Deep Concept"), (1, quoted("Deep Concept", 15)), (2, quoted("Deep Concept", 25)), (3, quoted("other", 15))]
+    gate = content.semantic_gate(F.col("t"), [["deep concept"]])
+    frame = spark.createDataFrame(rows, "id int, t string").select("id", gate.alias("gate"))
+    assert len(rows[2][1]) < 10_000
+    assert {r.id: r.gate for r in frame.collect()} == {0: "ok", 1: "ok", 2: "unverifiable", 3: "mismatch"}
+
+
 def test_deep_documents_are_opened(spark):
     deep = {"secret_note": "plain"}
     for _ in range(70):

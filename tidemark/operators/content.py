@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.coerce import code_base, epoch_instant, instant, listed_code, variant_instant, zone_text
-from tidemark.functions.text import compact_text, content_id, embedded_text, safe_url, semantic_key
+from tidemark.functions.text import UNOPENED, compact_text, content_id, embedded_text, safe_url, semantic_key
 from tidemark.operators.joins import join_checked
 from tidemark.operators.versions import first_by, latest_by
 
@@ -45,9 +45,11 @@ def semantic_gate(
     """``ok``, ``unverifiable`` or ``mismatch`` of a text against concept groups.
 
     Every group needs one of its aliases, and no forbidden concept may occur. Texts and
-    aliases are compared on letters and digits only; JSON text is opened first.
+    aliases are compared on letters and digits only; JSON text is opened first. Text that is JSON
+    quoted more often than it is opened is unverifiable, as anything may be in it.
     """
-    key = semantic_key(embedded_text(evidence))
+    opened = embedded_text(evidence)
+    key = semantic_key(opened)
     groups = [[semantic_key(F.lit(a)) for a in group] for group in required]
     all_groups = F.lit(True)
     for group in groups:
@@ -61,6 +63,7 @@ def semantic_gate(
         banned = banned | ((alias != "") & key.contains(alias))
     return (
         F.when(F.coalesce(F.trim(evidence), F.lit("")) == "", F.lit("unverifiable"))
+        .when(F.coalesce(opened.contains(UNOPENED), F.lit(False)), F.lit("unverifiable"))
         .when(all_groups & ~banned, F.lit("ok"))
         .otherwise(F.lit("mismatch"))
     )
