@@ -152,7 +152,10 @@ def job_status(
 
 
 def import_assessment(collections: DataFrame, responses: DataFrame, members: DataFrame) -> DataFrame:
-    """``ready_to_normalize`` or ``quarantined_raw_only`` with every blocking reason.
+    """``ready_to_normalize`` or ``quarantined_raw_only`` with the blocking reasons.
+
+    The reasons are those found here and those given in ``contract_errors``; reasons of the
+    contract, the plan and single rows are only of the second kind.
 
     ``collections``: collection_id, job_known, version_matches, period_matches,
     query_matches, minimum_expected_count, contract_errors array<string>.
