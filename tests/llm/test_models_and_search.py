@@ -188,9 +188,9 @@ def test_hot_copies_at_the_production_share(spark):
 def test_scan_keeps_k_candidates():
     rng = np.random.default_rng(0)
     for _ in range(200):
-        x = rng.normal(size=(12, 24)) * np.linspace(3, 0.1, 24)
+        x = rng.normal(size=(12, 64)) * 0.7 ** np.arange(64)  # nearly all of a distance is in the first block
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        assert len(nb.scan(x[0], [x[:, i : i + 8] for i in range(0, 24, 8)], 5, 0)) >= 5
+        assert len(nb.scan(x[0], [x[:, i : i + 8] for i in range(0, 64, 8)], 5, 0)) >= 5
 
 
 # urls
