@@ -12,6 +12,7 @@ from tidemark.llm.decontamination import find_passages
 from tidemark.llm.language_id import identify
 from tidemark.llm.license_scan import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.neighbours import nearest
 from tidemark.llm.packing import pack
@@ -235,3 +236,60 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_quality")
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(table(spark, folder, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The columns of a leaf, in their order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _sql_leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source::VARCHAR", "lang::VARCHAR", "n_chars::VARCHAR", text]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + "))"
+
+
+@query(
+    "op13_merkle_manifest",
+    f"""WITH RECURSIVE
+crc AS (SELECT doc_id AS id, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {_sql_leaf("text")} AS leaf,
+  CASE WHEN crc % 3 = 0 THEN {_sql_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS tampered
+  FROM documents LEFT JOIN crc ON id = doc_id),
+p AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+t AS (SELECT g, 0 AS lvl, pos, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM p
+  UNION ALL SELECT g, lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM t WHERE n > 1 GROUP BY g, lvl, n, pos // 8),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS place FROM t WHERE n = 1),
+u AS (SELECT 1000 AS lvl, place AS pos, subroot AS h, count(*) OVER () AS n FROM s
+  UNION ALL SELECT lvl + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM u WHERE n > 1 GROUP BY lvl, n, pos // 8),
+sib AS (SELECT x.g, x.lvl, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos), '') AS b,
+    coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos), '') AS a
+  FROM t x JOIN t y ON x.g = y.g AND x.lvl = y.lvl AND x.pos // 8 = y.pos // 8 WHERE x.n > 1 GROUP BY ALL),
+usib AS (SELECT x.lvl, x.pos, coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos), '') AS b,
+    coalesce(string_agg(y.h, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos), '') AS a
+  FROM u x JOIN u y ON x.lvl = y.lvl AND x.pos // 8 = y.pos // 8 WHERE x.n > 1 GROUP BY ALL),
+way AS (SELECT p.g, p.pos, lvl, b, a FROM p JOIN sib ON p.g = sib.g AND sib.pos = p.pos // (8 ** lvl)::BIGINT
+  UNION ALL SELECT p.g, p.pos, lvl, b, a FROM p JOIN s USING (g) JOIN usib ON usib.pos = s.place // (8 ** (lvl - 1000))::BIGINT),
+path AS (SELECT g, pos, list({{'b': b, 'a': a}} ORDER BY lvl) AS path, sha256(string_agg(b || a, '' ORDER BY lvl)) AS proof FROM way GROUP BY ALL),
+f AS (SELECT p.doc_id, p.leaf, subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256,
+    list_reduce(list_prepend({{'b': coalesce(tampered, leaf), 'a': ''}}, coalesce(path, [])),
+      lambda x, y: {{'b': sha256(y.b || x.b || y.a), 'a': ''}}).b AS folded_root
+  FROM p JOIN s USING (g) LEFT JOIN path ON path.g = p.g AND path.pos = p.pos)
+SELECT *, folded_root = root AS verified FROM f""",
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lowered = [F.col(c) for c in LEAF[:-1]] + [F.translate("text", _UPPER, _LOWER)]
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = merkle_manifest(docs, LEAF, carried={"tampered": F.when(picked, leaf_digest(*lowered))})
+    hexed = lambda c: F.lower(F.hex(c))
+    found = rows.select(
+        "doc_id",
+        hexed("digest").alias("leaf"),
+        hexed("subroot").alias("subroot"),
+        hexed("root").alias("root"),
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        fold(F.coalesce("tampered", "digest"), F.col("path")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
