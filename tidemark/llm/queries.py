@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import find_passages
+from tidemark.llm.exact_search import top_products
 from tidemark.llm.language_id import identify
 from tidemark.llm.license_scan import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
@@ -238,6 +239,19 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(table(spark, folder, "documents"))
 
 
+@query(
+    "op11_exact_topk",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS (SELECT a.vec_id AS query_id, b.vec_id, max(list_inner_product(a.v, b.v))::BIGINT AS score
+  FROM v a JOIN v b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+)
+def op11_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The columns of a leaf, in their order.
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
