@@ -11,6 +11,7 @@ from tidemark.llm.common import table
 from tidemark.llm.decontamination import find_passages
 from tidemark.llm.exact_search import top_products
 from tidemark.llm.language_id import identify
+from tidemark.llm.lexical_search import ranked_search
 from tidemark.llm.license_scan import find_licenses
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
@@ -252,6 +253,27 @@ def op11_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+#: Terms of a text as the contract of the search has them, in DuckDB.
+_SQL_TERMS = _SQL_WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
+
+
+@query(
+    "op12_lexical_search",
+    f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_TERMS.format(t="coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS n, coalesce(sum(len(w)), 0)::BIGINT AS l FROM d),
+f AS (SELECT r, doc_id, t, count(*) AS tf, len AS n FROM (SELECT r, doc_id, len(w) AS len, unnest(w) AS t FROM d) GROUP BY ALL),
+v AS (SELECT t, floor(1000 * ln((2 * s.n + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM f GROUP BY 1), s),
+q AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({_SQL_TERMS.format(t="text")}) AS t
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)) GROUP BY 1, 2),
+p AS (SELECT item_id, r, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * f.n * s.n) // s.l))))::BIGINT AS score
+  FROM q JOIN v USING (t) JOIN f USING (t), s GROUP BY 1, 2, 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10""",
+)
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The columns of a leaf, in their order.
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
