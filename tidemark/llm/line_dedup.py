@@ -12,7 +12,8 @@ hashes are sent to its shards, each dealt to as many salts as rows ask for, and
 places of dropped lines come back. Both give the same rows.
 
 A null or empty text is one empty line; an empty key is never dropped unless
-``min_chars`` is 0. A document is a row; repeated rows count each.
+``min_chars`` is 0. A document is a row, whatever its id: repeated rows, and rows of one id, count each. An empty table
+gives no rows; texts and lines of any length are read whole.
 """
 
 from __future__ import annotations
@@ -50,15 +51,19 @@ def hashes(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)), dtype="<u8").reshape(-1, 2)
 
 
-def _bit(h: np.ndarray, level: int, size: int) -> np.ndarray:
-    x = h ^ np.uint64((0x9E3779B97F4A7C15 * (level + 1)) & 0xFFFFFFFFFFFFFFFF)
+def _bit(h1: np.ndarray, h2: np.ndarray, level: int, size: int) -> np.ndarray:
+    """A place below ``size`` from all 128 bits: keys that share half of them part at the next level."""
+    x = (h1 ^ np.uint64((0x9E3779B97F4A7C15 * (level + 1)) & 0xFFFFFFFFFFFFFFFF)) + h2 * np.uint64(2 * level + 1)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
     return (x ^ (x >> np.uint64(32))) % np.uint64(size)
 
 
 class PerfectHash:
-    """Minimal perfect hash of distinct 64-bit numbers: about three bits and a rank for each."""
+    """Minimal perfect hash of distinct 128-bit numbers: about three bits and a rank for each."""
+
+    #: Half of the keys or more find a place at each level; equal keys never do.
+    LEVELS = 200
 
     def __init__(self, levels: list[tuple[int, np.ndarray]]):
         self.levels, base = [], 0
@@ -69,24 +74,26 @@ class PerfectHash:
         self.keys = base
 
     @staticmethod
-    def build(keys: np.ndarray) -> PerfectHash:
-        levels, left = [], keys
-        while len(left):
-            size = max(64, -(-int(len(left) * _GAMMA) // 64) * 64)
-            place = _bit(left, len(levels), size)
+    def build(h1: np.ndarray, h2: np.ndarray) -> PerfectHash:
+        levels = []
+        while len(h1):
+            if len(levels) == PerfectHash.LEVELS:
+                raise ValueError("a perfect hash needs distinct keys")
+            size = max(64, -(-int(len(h1) * _GAMMA) // 64) * 64)
+            place = _bit(h1, h2, len(levels), size)
             alone = np.bincount(place.astype(np.int64), minlength=size)[place.astype(np.int64)] == 1
             bits = np.zeros(size // 64, dtype=np.uint64)
             own = place[alone]
             np.bitwise_or.at(bits, (own >> np.uint64(6)).astype(np.int64), np.uint64(1) << (own & np.uint64(63)))
             levels.append((size, bits))
-            left = left[~alone]
+            h1, h2 = h1[~alone], h2[~alone]
         return PerfectHash(levels)
 
-    def slots(self, keys: np.ndarray) -> np.ndarray:
+    def slots(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """The slot of each key; -1 where no level holds it, any slot where it is foreign."""
-        slot, left = np.full(len(keys), -1, dtype=np.int64), np.arange(len(keys))
+        slot, left = np.full(len(h1), -1, dtype=np.int64), np.arange(len(h1))
         for level, (size, bits, rank) in enumerate(self.levels):
-            place = _bit(keys[left], level, size)
+            place = _bit(h1[left], h2[left], level, size)
             word, inside = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
             here = (bits[word] >> inside) & np.uint64(1) == 1
             below = bits[word[here]] & ((np.uint64(1) << inside[here]) - np.uint64(1))
@@ -105,8 +112,8 @@ class Shard:
 
     @staticmethod
     def build(keys: np.ndarray, prints: np.ndarray, counts: np.ndarray) -> bytes:
-        perfect = PerfectHash.build(keys)
-        slots = perfect.slots(keys)
+        perfect = PerfectHash.build(keys, prints)
+        slots = perfect.slots(keys, prints)
         by_print, by_count = np.empty(len(keys), np.uint64), np.empty(len(keys), np.uint32)
         by_print[slots], by_count[slots] = prints, np.minimum(counts, 0xFFFFFFFF)
         out = io.BytesIO()
@@ -121,7 +128,7 @@ class Shard:
             return Shard(PerfectHash([(64 * len(b), b) for b in levels]), parts["prints"], parts["counts"])
 
     def counts_of(self, keys: np.ndarray, prints: np.ndarray) -> np.ndarray:
-        slot = self.perfect.slots(keys)
+        slot = self.perfect.slots(keys, prints)
         known = slot >= 0
         known[known] = self.prints[slot[known]] == prints[known]
         found = np.zeros(len(keys), dtype=np.int64)
