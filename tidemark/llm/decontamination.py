@@ -7,14 +7,17 @@ of shifts, which says how far the search may jump without passing an occurrence;
 says 0, the bucket of that block names the patterns that can end there, and a comparison
 of all words confirms. Many places of a batch of texts are searched in step with numpy.
 
-The patterns of at most ``BLOCK_BYTES`` of benchmark text travel to the tasks at once; a
-larger benchmark is searched block by block, each pass extending the spans found before.
-Documents are never shuffled. A null text or item has no words; repeated items and rows
-each count for themselves; extra columns are left out.
+The texts of at most about ``BLOCK_BYTES`` of the benchmark, which hold no more patterns than half as many, travel to
+the tasks at once, and a worker builds their index once, for all its tasks. A larger benchmark is searched block by
+block, each pass extending the spans found before.
+Documents are never shuffled. A null text has no words; items that share an id are one item, and those with a null
+id are one item too, which is named null, after all others. Repeated rows
+each count for themselves; extra columns are left out. An empty table gives no rows, an empty benchmark no hits.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -22,11 +25,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tidemark.llm.common import slices, text_bytes, written
 
 #: Benchmark text that is searched for in one pass.
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 8_000_000
 #: Words between the starting points of two cursors.
 STRIDE = 96
 #: A-Z become a-z; every ASCII byte that is no letter or digit becomes a space.
@@ -44,11 +48,16 @@ class Patterns:
 
     BITS = 20
 
-    def __init__(self, rows: np.ndarray, owners: list[list[int]]):
-        self.rows, self.length = rows, rows.shape[1]
+    def __init__(self, windows: np.ndarray, items: np.ndarray):
+        """``windows`` of word numbers, with repeats, and the item of each."""
+        whole = np.ascontiguousarray(windows).view(np.dtype((np.void, windows.dtype.itemsize * windows.shape[1]))).ravel()
+        _, first, pattern = np.unique(whole, return_index=True, return_inverse=True)
+        self.rows, self.length = windows[first], windows.shape[1]
         self.block = min(2, self.length)
-        self.owner_ends = np.cumsum([len(o) for o in owners])
-        self.owners = np.array([x for o in owners for x in o], dtype=np.int64)
+        pairs = np.unique(np.stack([pattern.ravel(), items], axis=1), axis=0)
+        self.owners = pairs[:, 1]
+        self.owner_ends = np.cumsum(np.bincount(pairs[:, 0], minlength=len(self.rows)))
+        rows = self.rows
         farthest = self.length - self.block + 1
         self.shift = np.full(1 << self.BITS, farthest, dtype=np.int16)
         for end in range(self.block, self.length + 1):
@@ -103,18 +112,29 @@ class Patterns:
 class Benchmark:
     """All patterns of some items, by length."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.items = [i for i, _ in items]
         self.codes: dict[bytes, int] = {}
-        found: dict[int, dict[tuple, list[int]]] = {}
+        by_size: dict[int, tuple[list, list]] = {}
         for number, (_, text) in enumerate(items):
-            symbols = [self.codes.setdefault(w, len(self.codes) + 1) for w in words(text)]
-            size = min(window, len(symbols))
-            for at in range(len(symbols) - size + 1) if size else ():
-                owners = found.setdefault(size, {}).setdefault(tuple(symbols[at : at + size]), [])
-                if not owners or owners[-1] != number:
-                    owners.append(number)
-        self.patterns = [Patterns(np.array(list(p), dtype=np.int32), list(p.values())) for p in found.values()]
+            found = words(text)
+            symbols = np.fromiter((self.codes.setdefault(w, len(self.codes) + 1) for w in found), np.int32, len(found))
+            if len(symbols):
+                windows, owners = by_size.setdefault(min(window, len(symbols)), ([], []))
+                windows.append(np.lib.stride_tricks.sliding_window_view(symbols, min(window, len(symbols))))
+                owners.append(np.full(len(windows[-1]), number))
+        self.patterns = [Patterns(np.concatenate(w), np.concatenate(o)) for w, o in by_size.values()]
+
+
+#: The index that this worker has built last, and the block it is of.
+_BUILT: dict[str, Benchmark] = {}
+
+
+def _index(block: str, items: list[tuple[str | None, bytes]], window: int) -> Benchmark:
+    if block not in _BUILT:
+        _BUILT.clear()
+        _BUILT[block] = Benchmark(items, window)
+    return _BUILT[block]
 
 
 def _search(known: Benchmark, texts: list[bytes], items: list, spans: list):
@@ -150,32 +170,35 @@ def _search(known: Benchmark, texts: list[bytes], items: list, spans: list):
     if pairs:
         for i, item in np.unique(np.concatenate(pairs), axis=0):
             named[i].add(known.items[item])
-    return numbers, [sorted(n) for n in named], merged
+    return numbers, [sorted(n, key=lambda x: (x is None, x or "")) for n in named], merged
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """doc_id, n_words, items (item ids as sorted strings), spans (of hit words) and n_hit."""
+    """doc_id, n_words, items (item ids as sorted strings), spans (of hit words) and n_hit.
+
+    ``doc_id`` may have any type; it is carried along.
+    """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_bytes("text").alias("text"))
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    shape = "items array<string>, spans array<struct<start:int,end:int>>"
     state = docs.select(F.col("doc_id"), text_bytes("text").alias("text")).withColumns(
         {
             "items": F.array().cast("array<string>"),
             "spans": F.array().cast("array<struct<start:int,end:int>>"),
         }
     )
+    found_fields = state.schema.fields[2:]
+    kind = StructField("doc_id", docs.schema["doc_id"].dataType)
     for block in range(blocks):
-        here = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block) if blocks > 1 else items
+        here = items.where(F.coalesce(F.pmod(F.xxhash64("item_id"), F.lit(blocks)), F.lit(0)) == block)
         known = spark.sparkContext.broadcast([(r["item_id"], bytes(r["text"])) for r in here.collect()])
-        last = block == blocks - 1
+        last, name = block == blocks - 1, uuid.uuid4().hex
 
-        def search(batches: Iterator[pa.RecordBatch], known=known, last=last) -> Iterator[pa.RecordBatch]:
-            index = None
+        def search(batches: Iterator[pa.RecordBatch], known=known, last=last, name=name) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                index = index or Benchmark(known.value, window)
+                index = _index(name, known.value, window)
                 texts = batch.column(1).to_pylist()
                 numbers, items, spans = _search(index, texts, batch.column(2).to_pylist(), batch.column(3).to_pylist())
                 found = {"items": pa.array(items, pa.list_(pa.string())), "spans": pa.array(spans, span)}
@@ -185,8 +208,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
                     found = {"text": batch.column(1)} | found
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0)} | found)
 
-        kind = dict(docs.dtypes)["doc_id"]
-        state = state.mapInArrow(search, f"doc_id {kind}, {'n_words long' if last else 'text binary'}, {shape}")
+        more = StructField("n_words", LongType()) if last else StructField("text", BinaryType())
+        state = state.mapInArrow(search, StructType([kind, more, *found_fields]))
         if not last:
             state = written(state, "passages")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
