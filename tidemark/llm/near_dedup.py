@@ -281,8 +281,7 @@ def _verified(members: DataFrame, width: int, similarity: tuple[int, int], chunk
 
         def similar(m: int, others: np.ndarray) -> np.ndarray:
             small, large = np.minimum(n[m], n[others]), np.maximum(n[m], n[others])
-            ok = (of * small >= top * large) & (small > 0)
-            ok[ok] = (sig[others[ok]] != sig[m]).sum(axis=1) < 2 * chunks
+            ok = (of * small >= top * large) & (small > 0)  # no signature decides here, only full sets
             live = others[ok]
             if len(live):
                 at = np.concatenate([np.arange(ends[o] - n[o], ends[o]) for o in live])
