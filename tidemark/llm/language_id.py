@@ -43,7 +43,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sampled = (
         rows.select(F.col(lang).alias("lang"), text_bytes(text).alias("text"), place.alias("place"))
-        .join(F.broadcast(counts), "lang")  # one row for each language
+        .join(counts, "lang")
         .where(F.col("place") < share)
         .select("lang", "text")
     )
