@@ -69,3 +69,39 @@ def test_documents_stay_without_any_language(spark, sf_small):
     for table in (docs, labelled):
         kept = cp.language_id(spark, table, sf_small)
         assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
+
+
+CLASHES = ["score", "lang_pred", "n_lines", "n_dropped", "n_hit", "items", "spans", "row", "component_id", "kept", "n_shingles", "Held_Out", "own_score", "place"]
+
+
+def test_columns_of_the_caller_stay_and_rows_are_judged_as_rows(spark, tmp_path, sf_small):
+    """Clashing columns, rows of one id, repeated rows and null ids through all stages."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    some = [r for r in docs.where("lang = 'en' AND length(text) > 1500").orderBy("doc_id").limit(3).collect()]
+    words = some[0].text.split()
+    passage = " ".join(words[40:60])
+    spark.createDataFrame([(1, passage), (None, "one two three four")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [" ".join(some[1].text.split()[i : i + 90]) for i in (0, 100)]
+    odd = [
+        (9001, clean[0], "en", "dup", 1), (9001, clean[0], "en", "dup", 1),  # repeated rows: one stays
+        (9002, clean[1], "en", "twin", 1), (9002, f"{clean[1]} {passage}", "en", "twin", 1),  # one id, one of them hit
+        (None, passage + " " + " ".join(words[200:260]), "en", "null", 1),  # null id, hit
+        (None, " ".join(some[2].text.split()[:90]), "en", "null", 1), (None, " ".join(some[2].text.split()[:90]), "en", "null", 1),
+        (9003, None, "en", "none", 1), (9004, "", "en", "none", 1),
+    ]
+    table = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    for i, c in enumerate(CLASHES):
+        table = table.withColumn(c, F.concat(F.lit(f"{i}:"), F.coalesce("source", F.lit("-"))))
+    state, columns = written(table, "clash"), table.columns
+    for name, stage in cp.STAGES[:-1]:
+        state = written(stage(spark, state, str(tmp_path)), name)
+        assert state.columns == columns
+        for i, c in enumerate(CLASHES):
+            assert not state.where(F.col(f"`{c}`") != F.concat(F.lit(f"{i}:"), F.coalesce("source", F.lit("-")))).count(), (name, c)
+        if name == "language_id":
+            assert {r.source for r in state.where("doc_id IN (9003, 9004)").collect()} == set()
+    left = sorted((r.source, str(r.doc_id), r.text) for r in state.where("source IN ('dup', 'twin', 'null')").collect())
+    assert left == [
+        ("dup", "9001", clean[0]), ("null", "None", " ".join(some[2].text.split()[:90])), ("twin", "9002", clean[1]),
+    ]
+    assert cp.packing(spark, state, str(tmp_path)).count() >= state.count()

@@ -191,6 +191,43 @@ def test_search_equals_brute_force_on_few_words():
         assert (n, sum(s["end"] - s["start"] for s in found), names) == brute_passages(text, items)
 
 
+def test_null_and_repeated_item_ids(spark):
+    rows = [(None, "alpha beta gamma"), (1, "gamma delta"), (1, "eins zwei"), (None, "delta omega"), (2, None), (3, "beta gamma")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta x"), (2, "zwei eins zwei"), (None, "delta omega"), (4, None)], "doc_id long, text string")
+    got = {r.doc_id: (r["items"], r.n_hit) for r in dc.find_passages(docs, items).collect()}
+    assert got == {1: (["1", "3", None], 4), 2: (["1"], 2), None: ([None], 2), 4: ([], 0)}
+
+
+def test_blocks_of_a_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 60)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    rows = dc.find_passages(frame(spark), items).collect()
+    got = sorted((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in rows)
+    assert got == sorted((i, *brute_passages(t, ITEMS)) for i, t, _ in ROWS)
+
+
+def test_index_of_a_whole_block_is_small():
+    """The largest block that is searched at once, indexed in a process of its own."""
+    import subprocess
+    import sys
+
+    code = (
+        "import resource, numpy as np\n"
+        "from tidemark.llm import decontamination as dc\n"
+        "rng = np.random.default_rng(1)\n"
+        "base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "word = np.array([f'w{i}' for i in range(200_000)])\n"
+        "size = dc.BLOCK_BYTES // 7 // 100\n"
+        "items = [(str(i), ' '.join(word[rng.integers(0, 200_000, 100)]).encode()) for i in range(size)]\n"
+        "index = dc.Benchmark(items, 10)\n"
+        "assert sum(len(p.rows) for p in index.patterns) > 0.9 * size * 91\n"
+        "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) / 1024)\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 500  # MB
+
+
 # line dedup
 
 
@@ -224,17 +261,37 @@ def test_perfect_hash_is_minimal_and_prints_tell_strangers():
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64))
     prints, counts = rng.integers(0, 1 << 63, len(keys), dtype=np.uint64), rng.integers(2, 99, len(keys))
-    perfect = ld.PerfectHash.build(keys)
-    assert sorted(perfect.slots(keys)) == list(range(len(keys)))
+    perfect = ld.PerfectHash.build(keys, prints)
+    assert sorted(perfect.slots(keys, prints)) == list(range(len(keys)))
     shard = ld.Shard.load(ld.Shard.build(keys, prints, counts))
     assert (shard.counts_of(keys, prints) == counts).all()
     strangers = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
     assert not shard.counts_of(strangers, strangers).any()
 
 
+def test_keys_that_share_half_their_hash_part_and_equal_ones_are_refused():
+    same, other = np.full(300, 5, np.uint64), np.arange(300, dtype=np.uint64)
+    for h1, h2 in ((same, other), (other, same)):
+        slots = ld.PerfectHash.build(h1, h2).slots(h1, h2)
+        assert sorted(slots) == list(range(300))
+        shard = ld.Shard.load(ld.Shard.build(h1, h2, other + 2))
+        assert (shard.counts_of(h1, h2) == np.arange(300) + 2).all()
+    with pytest.raises(ValueError):
+        ld.PerfectHash.build(same[:2], same[:2])
+
+
 # near dedup
 
 
+def test_full_sets_decide_whatever_the_signatures(spark):
+    rng = np.random.default_rng(9)
+    chunks, text = nd.chunks_for(0.8), b" ".join(b"w%d" % i for i in range(200))
+    sig = lambda: rng.integers(0, 65536, chunks * nd.LENGTH).astype("<u2").tobytes()
+    rows = [(0, 0, 0, i, sig(), t) for i, t in enumerate([text, text + b" more", b"quite another text of few words"])]
+    members = spark.createDataFrame(rows, "group long, i int, j int, rep long, sig binary, text binary")
+    assert [(r.a, r.b) for r in nd._verified(members, 5, (80, 100), chunks).collect()] == [(0, 1)]
+
+
 def brute_components(rows, width, top, of):
     sets = {}
     for i, t, _ in rows:
