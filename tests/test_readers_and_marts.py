@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from tidemark.functions.coerce import instant, variant_instant
-from tidemark.functions.text import compact_text, embedded_text, markdown_summary
+from tidemark.functions.text import compact_text, markdown_summary
 from tidemark.operators import content, normalize, scan
 from tidemark.operators import metrics as m
 from tidemark.plans import marts
@@ -66,34 +66,38 @@ def test_texts_are_not_cut(spark):
     nested = json.dumps({"k": "deep"})
     for _ in range(11):
         nested = json.dumps([nested])
-    row = spark.createDataFrame([(long, nested)], "t string, j string").select(
+    frame = content.open_texts(spark.createDataFrame([(long, nested)], "t string, j string"), "j", "inner")
+    row = frame.select(
         compact_text(F.col("t")).alias("whole"),
         markdown_summary(F.col("t")).alias("summary"),
         compact_text(F.col("t"), 10).alias("short"),
-        embedded_text(F.col("j")).alias("inner"),
+        "inner",
     ).first()
     assert row.whole == row.summary == long.strip() and row.short == "word word…"
     assert "deep" in row.inner.split() and "[" not in row.inner
 
 
-def test_texts_quoted_too_often_are_unverifiable(spark):
-    """Quotes and backslashes as escapes grow by five characters a level, so 25 levels are a short text."""
+def test_texts_are_opened_however_often_they_are_quoted(spark):
+    """Quotes and backslashes as escapes grow by five characters a level, so 30 levels are a short text."""
 
     def quoted(text: str, levels: int) -> str:
         for _ in range(levels):
             text = '"' + text.replace("\\", "\\u005c").replace('"', "\\u0022") + '"'
         return text
 
-    rows = [(0, "Deep Concept"), (1, quoted("Deep Concept", 15)), (2, quoted("Deep Concept", 25)), (3, quoted("other", 15))]
-    gate = content.semantic_gate(F.col("t"), [["deep concept"]])
-    frame = spark.createDataFrame(rows, "id int, t string").select("id", gate.alias("gate"))
-    assert len(rows[2][1]) < 10_000
-    assert {r.id: r.gate for r in frame.collect()} == {0: "ok", 1: "ok", 2: "unverifiable", 3: "mismatch"}
+    rows = [(0, "Deep Concept"), (1, quoted("Deep Concept", 15)), (2, quoted("Deep Concept", 30)), (3, quoted("other", 30))]
+    rows += [(4, None), (5, "  "), (6, '{"deep": ["con", {"cept": 1}]} x'), (7, '{"de\\"ep": [1, "con-cept"]}'), (8, "deep concept banned")]
+    frame = content.semantic_gate(spark.createDataFrame(rows, "id int, t string"), "t", [["deep concept"]], ["banned"], "gate")
+    assert len(rows[2][1]) < 12_000 and frame.columns == ["id", "t", "gate"]
+    want = {0: "ok", 1: "ok", 2: "ok", 3: "mismatch", 4: "unverifiable", 5: "unverifiable", 6: "ok", 7: "ok", 8: "mismatch"}
+    assert {r.id: r.gate for r in frame.collect()} == want
+    opened = content.open_texts(spark.createDataFrame([(1, '["a", {"k": "[\\"b\\", \\"c\\"]"}, 3]'), (2, None)], "id int, t string"), "t")
+    assert {r.id: r.opened_text for r in opened.collect()} == {1: "a k b c", 2: None}
 
 
 def test_deep_documents_are_opened(spark):
     deep = {"secret_note": "plain"}
-    for _ in range(70):
+    for _ in range(150):
         deep = {"n": deep}
     frame = spark.createDataFrame([(1, json.dumps(deep))], "id long, j string").select("id", F.parse_json("j").alias("v"))
     assert "plain" in [r.text for r in scan.flatten_documents(frame, "id", "v").collect()]

@@ -26,3 +26,27 @@ def test_versions_over_batches(spark, tmp_path):
     assert sorted(map(tuple, jobs.latest_versions(spark, rows, shape, ["id"], ["version"]).collect())) == want
     jobs.compact(spark, rows, second, shape, ["id"], ["version"])
     assert sorted(map(tuple, jobs.latest_versions(spark, second, shape, ["id"], ["version"]).collect())) == want
+
+
+def test_first_seen_over_batches_with_repeats_late_rows_and_a_freed_key(spark, tmp_path):
+    import datetime as dt
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    at = lambda minute: dt.datetime(2026, 1, 1) + dt.timedelta(minutes=minute)
+    schema = "id string, at timestamp, body string"
+    deliveries = [
+        [("x", at(1), "x1"), ("x", at(0), "x0"), ("y", at(1), "y1"), ("n", None, "no time")],  # the earliest of a batch
+        [("x", at(2), "repeat"), ("z", at(3), "z3")],
+        [("w", at(30), "w30")],  # moves the watermark; timers of x and y fire afterwards
+        [("x", at(31), "x31"), ("y", at(5), "too late"), (None, at(32), "null key")],
+        [("x", at(33), "repeat"), (None, at(34), "repeat")],
+    ]
+    for number, rows in enumerate(deliveries):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.file_stream(spark, source, spark.createDataFrame([], schema).schema, "parquet")
+        jobs.run_to_end(lambda s=stream: jobs.append_all(jobs.first_seen(s, ["id"], "at", 600_000), out, str(tmp_path / "log")))
+        if number == 2:
+            jobs.run_to_end(lambda s=stream: jobs.append_all(jobs.first_seen(s, ["id"], "at", 600_000), out, str(tmp_path / "log")))
+    got = sorted((r.id or "-", r.body) for r in spark.read.parquet(out).collect())
+    assert got == [("-", "null key"), ("w", "w30"), ("x", "x0"), ("x", "x31"), ("y", "y1"), ("z", "z3")]

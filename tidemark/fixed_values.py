@@ -16,6 +16,7 @@ REVIEW_VERSION = "1.0.0"
 
 # --- fixed values: codes ------------------------------------------------------------
 LISTED_CODE_PATTERN = r"^\d{6}\.(SH|SZ|BJ)$"
+SECURITY_CODE_PATTERN = r"^\d{6}\.[A-Z]{2}$"
 PROJECT_TIME_ZONE = "Asia/Shanghai"
 MILLISECOND_THRESHOLD = 10_000_000_000
 

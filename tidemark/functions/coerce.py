@@ -155,13 +155,17 @@ def cap_band(market_cap: Column) -> Column:
 
 
 def version_key(version: Column) -> Column:
-    """Comparable key of a version text: numeric parts rank above text parts."""
+    """A text whose byte order is the order of versions: numeric parts rank above text parts.
+
+    Parts are compared one by one; a version that another one continues ranks below it. A number is written as
+    its number of digits and its digits, so numbers of any length compare by value, and every part ends
+    in a byte below all others.
+    """
     parts = F.split(F.lower(F.coalesce(version, F.lit(""))), "[._+-]")
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            F.when(p.rlike(r"^\d+$"), F.lit(1)).otherwise(F.lit(0)).alias("kind"),
-            F.coalesce(F.when(p.rlike(r"^\d+$"), p.try_cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("n"),
-            F.when(p.rlike(r"^\d+$"), F.lit("")).otherwise(p).alias("text"),
-        ),
-    )
+
+    def encoded(part: Column) -> Column:
+        digits = F.regexp_replace(part, "^0+(?=[0-9])", "")
+        number = F.concat(F.lit("1"), F.lpad(F.length(digits).cast("string"), 9, "0"), digits)
+        return F.when(part.rlike("^[0-9]+$"), number).otherwise(F.concat(F.lit("0"), part))
+
+    return F.array_join(F.transform(parts, lambda p: F.concat(encoded(p), F.lit("\u0000"))), "")

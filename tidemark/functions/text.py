@@ -125,24 +125,17 @@ def _unquoted(token: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")[0]
 
 
-#: A quote inside n levels of quoting has ``2 ** n - 1`` backslashes before it: JSON quoted this
-#: often takes a megabyte for every quote, but far less where quotes and backslashes are escaped as \u0022 and \u005c.
-_QUOTED_LEVELS = 20
-#: Stands for a text that is still JSON below the last level; no character, so texts do not hold it.
-UNOPENED = "\uffff"
-
-
-def embedded_text(text: Column, depth: int = _QUOTED_LEVELS) -> Column:
-    """All strings (keys and values) inside text that may be JSON, also JSON in JSON.
-
-    Each level takes the string tokens of a valid JSON text in document order and looks
-    into each of them again; plain text is kept as it is. Text that is still JSON after
-    ``depth`` levels is replaced by ``UNOPENED``.
-    """
-    stripped = F.trim(text)
-    is_json = stripped.rlike(r'^[\[{"]') & F.try_parse_json(stripped).isNotNull()
-    if depth <= 0:
-        return F.when(is_json, F.lit(UNOPENED)).otherwise(stripped)
-    tokens = F.regexp_extract_all(stripped, F.lit(r'("[^"\\]*+(?:\\.[^"\\]*+)*+")'), F.lit(1))
-    inner = F.array_join(F.transform(tokens, lambda t: embedded_text(_unquoted(t), depth - 1)), " ")
-    return F.when(is_json, inner).otherwise(stripped)
+def is_json(text: Column) -> Column:
+    """True for a text that is a whole JSON object, array or string."""
+    return F.coalesce(text.rlike(r'^\s*[\[{"]') & F.try_parse_json(text).isNotNull(), F.lit(False))
+
+
+def json_strings(text: Column) -> Column:
+    """The string tokens (keys and values) of a JSON text in document order, unquoted and trimmed."""
+    tokens = F.regexp_extract_all(text, F.lit(r'("[^"\\]*+(?:\\.[^"\\]*+)*+")'), F.lit(1))
+    return F.transform(tokens, lambda t: F.trim(_unquoted(t)))
+
+
+def opened_once(parts: Column) -> Column:
+    """An array of texts in which every JSON text is replaced by the strings in it."""
+    return F.flatten(F.transform(parts, lambda p: F.when(is_json(p), json_strings(p)).otherwise(F.array(p))))

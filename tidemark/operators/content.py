@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.coerce import code_base, epoch_instant, instant, listed_code, variant_instant, zone_text
-from tidemark.functions.text import UNOPENED, compact_text, content_id, embedded_text, safe_url, semantic_key
+from tidemark.functions.text import compact_text, content_id, is_json, opened_once, safe_url, semantic_key
 from tidemark.operators.joins import join_checked
 from tidemark.operators.versions import first_by, latest_by
+from tidemark.session import settle
 
 ITEM_SCHEMA = (
     "title string, summary string, url string, publish_time variant, "
@@ -39,34 +40,61 @@ def classify(
     return kind, words
 
 
+#: Levels of quoting that one round opens.
+_LEVELS = 4
+
+
+def open_texts(df: DataFrame, text: str, opened: str = "opened_text") -> DataFrame:
+    """``df`` with all strings inside ``text``, which may be JSON that holds JSON, joined by blanks.
+
+    A work list: each round opens a few levels of the texts that still hold JSON and settles
+    them; what is open leaves the list, and the loop ends when nothing is left on it. There is no deepest
+    level. A row keeps its strings in document order, so nothing is shuffled. A null text stays null.
+    """
+    parts = "__parts"
+    work, done = df.withColumn(parts, F.array(F.trim(text))), []
+    while True:
+        for _ in range(_LEVELS):
+            work = work.withColumn(parts, opened_once(F.col(parts)))
+        work = settle(work)
+        closed = F.exists(parts, is_json)
+        done.append(work.where(~closed))
+        work = work.where(closed)
+        if work.isEmpty():
+            break
+    whole = done[0]
+    for part in done[1:]:
+        whole = whole.unionByName(part)
+    return whole.withColumn(opened, F.when(F.col(text).isNotNull(), F.array_join(parts, " "))).drop(parts)
+
+
 def semantic_gate(
-    evidence: Column, required: Sequence[Sequence[str]], forbidden: Sequence[str] = ()
-) -> Column:
-    """``ok``, ``unverifiable`` or ``mismatch`` of a text against concept groups.
+    df: DataFrame, text: str, required: Sequence[Sequence[str]], forbidden: Sequence[str] = (), status: str = "status"
+) -> DataFrame:
+    """``df`` with ``ok``, ``unverifiable`` or ``mismatch`` of its text against concept groups.
 
     Every group needs one of its aliases, and no forbidden concept may occur. Texts and
-    aliases are compared on letters and digits only; JSON text is opened first. Text that is JSON
-    quoted more often than it is opened is unverifiable, as anything may be in it.
+    aliases are compared on letters and digits only; JSON text is opened first, however often it is quoted. An empty
+    text is unverifiable.
     """
-    opened = embedded_text(evidence)
-    key = semantic_key(opened)
-    groups = [[semantic_key(F.lit(a)) for a in group] for group in required]
-    all_groups = F.lit(True)
-    for group in groups:
-        hit = F.lit(False)
-        for alias in group:
-            hit = hit | ((alias != "") & key.contains(alias))
-        all_groups = all_groups & hit
-    banned = F.lit(False)
+    opened = "__opened"
+    found = open_texts(df, text, opened).withColumn(opened, semantic_key(F.col(opened)))
+
+    def said(alias: str) -> Column:
+        wanted = semantic_key(F.lit(alias))
+        return (wanted != "") & F.col(opened).contains(wanted)
+
+    every, banned = F.lit(True), F.lit(False)
+    for group in required:
+        every = every & F.greatest(F.lit(False), *[said(alias) for alias in group], F.lit(False))
     for concept in forbidden:
-        alias = semantic_key(F.lit(concept))
-        banned = banned | ((alias != "") & key.contains(alias))
-    return (
-        F.when(F.coalesce(F.trim(evidence), F.lit("")) == "", F.lit("unverifiable"))
-        .when(F.coalesce(opened.contains(UNOPENED), F.lit(False)), F.lit("unverifiable"))
-        .when(all_groups & ~banned, F.lit("ok"))
+        banned = banned | said(concept)
+    verdict = (
+        F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.lit("unverifiable"))
+        .when(every & ~banned, F.lit("ok"))
         .otherwise(F.lit("mismatch"))
     )
+    return found.withColumn(status, verdict).drop(opened)
 
 
 # --- identity and scope -------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.coerce import code_base
+from tidemark.functions.coerce import code_base, version_key
 from tidemark.functions.text import url_host
 from tidemark.operators.joins import join_checked
 from tidemark.operators.versions import latest_by
@@ -165,13 +165,29 @@ def best_bundle(counts: DataFrame, group: Sequence[str], bundle: str, count: str
     )
 
 
+def best_version(manifests: DataFrame, group: Sequence[str], date: str, versions: Sequence[str], bundle: str) -> DataFrame:
+    """Per group the manifest of the newest date; of equal dates that of the greatest versions, compared
+    in their order, then that of the greatest bundle id.
+
+    Only keys are compared and carried through the aggregation; the manifest is joined back by its bundle.
+    """
+    chosen = manifests.groupBy(*group).agg(
+        F.max(F.struct(F.col(date), *[version_key(F.col(v)).alias(f"__{v}") for v in versions], F.col(bundle))).alias("__best")
+    )
+    chosen = chosen.select(*group, F.col(f"__best.{bundle}").alias(bundle))
+    return manifests.join(chosen, [*group, bundle], "left_semi")
+
+
 def period_gaps(best: DataFrame, required: DataFrame, period: str, count: str, minimum: int) -> DataFrame:
     """Required periods without a bundle of at least ``minimum`` securities."""
     return required.join(best.where(F.col(count) >= minimum), period, "left_anti")
 
 
 def distinct_records(frames: Sequence[DataFrame], identity: str) -> DataFrame:
-    """Exact number of logical records across reprocessed bundles."""
+    """Exact number of logical records across reprocessed bundles.
+
+    For whole-number ids, and bundles that come again and again, see :mod:`tidemark.operators.sets`.
+    """
     merged = frames[0].select(identity)
     for frame in frames[1:]:
         merged = merged.unionByName(frame.select(identity))

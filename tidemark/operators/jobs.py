@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.fixed_values import QUARANTINE_ERRORS
 from tidemark.functions.text import digest_id
+from tidemark.session import settle
 
 
 def bind_snapshots(snapshots: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -58,12 +62,52 @@ def fingerprint(query: Column, names: Column, *evidence: Column) -> Column:
 
 
 def bundle_id(df: DataFrame, group: Sequence[str], version: Sequence[str], member: str) -> DataFrame:
-    """Digest over the versions and the sorted members of each bundle.
+    """Digest over the versions and the sorted distinct members of each bundle.
 
-    A bundle lists the snapshots it was made of, which are few; the members are not rows.
+    Rows are partitioned by bundle and sorted by member, and a running SHA-256 takes one member after
+    another, so a bundle of any number of members needs the memory of one Arrow batch. Null members are left out; a
+    bundle of null members only is the digest of its versions and an empty member.
     """
-    members = F.array_join(F.sort_array(F.collect_set(member)), "\u0000")
-    return df.groupBy(*group).agg(digest_id([*[F.lit(v) for v in version], members], 20).alias("bundle_id"))
+    keys = list(group)
+    held = df.select(*keys, F.col(member).cast("string").alias("__member"))
+    ordered = held.groupBy(*keys, "__member").count().drop("count")  # repeats go before the shuffle
+    ordered = ordered.repartition(*keys).sortWithinPartitions(*keys, "__member")
+    schema = StructType([*[held.schema[k] for k in keys], StructField("bundle_id", StringType())])
+    head = b"\0".join(v.encode() for v in version)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, digest, empty = None, None, True
+
+        def closed() -> str:
+            return (digest if not empty else _fed(digest, b"")).hexdigest()[:20]
+
+        for batch in batches:
+            rows, ids = [], []
+            members = batch.column(len(keys)).to_pylist()
+            for row, key in enumerate(zip(*[c.to_pylist() for c in batch.columns[: len(keys)]], strict=True)):
+                if key != open_key or digest is None:
+                    if digest is not None:
+                        rows.append(open_key)
+                        ids.append(closed())
+                    open_key, digest, empty = key, hashlib.sha256(head), True
+                if members[row] is not None:
+                    _fed(digest, members[row].encode())
+                    empty = False
+            yield _bundles(batch.schema, keys, rows, ids)
+        if digest is not None:
+            yield _bundles(batch.schema, keys, [open_key], [closed()])
+
+    return ordered.mapInArrow(fold, schema)
+
+
+def _fed(digest, member: bytes):
+    digest.update(b"\0" + member)
+    return digest
+
+
+def _bundles(schema: pa.Schema, keys: list[str], rows: list[tuple], ids: list[str]) -> pa.RecordBatch:
+    columns = [pa.array([r[i] for r in rows], schema.field(i).type) for i in range(len(keys))]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.string())], names=[*keys, "bundle_id"])
 
 
 def job_status(
@@ -245,19 +289,41 @@ def new_snapshots(incoming: DataFrame, existing: DataFrame, on: Sequence[str]) -
     return incoming.join(held, condition, "left_anti")
 
 
-def route_by_prefix(text: Column, exact: dict[str, str], prefixes: dict[str, str]) -> tuple[Column, Column]:
-    """(route, error) of a query text: exact rule first, else its only matching prefix.
+def route_texts(texts: DataFrame, rules: DataFrame, text: str) -> DataFrame:
+    """``texts`` with route and route_error: the exact rule first, else the only rule whose prefix begins the text.
 
-    The rules are configuration, so they compile to an expression; no join is needed.
+    ``rules``: kind (``exact`` or ``prefix``), rule, route; a table of any size. A text is looked up under its
+    beginnings of the lengths that rules have, so the join is one of equal values and the work does not
+    grow with the number of rules. Several prefixes that match are an error, as are repeated rules;
+    a null text has no route.
     """
-    exact_route = F.lit(None).cast("string")
-    for rule, route in exact.items():
-        exact_route = F.when(text == rule, F.lit(route)).otherwise(exact_route)
-    rules = F.array(*[F.struct(F.lit(p).alias("prefix"), F.lit(r).alias("route")) for p, r in prefixes.items()])
-    hits = F.filter(rules, lambda rule: text.startswith(rule["prefix"]))
-    route = F.coalesce(exact_route, F.when(F.size(hits) == 1, hits[0]["route"]))
-    error = F.when(exact_route.isNull() & (F.size(hits) > 1), F.lit("matches_multiple_prefixes"))
-    return route, error
+    row = "__row"
+    numbered = settle(texts.withColumn(row, F.monotonically_increasing_id()))
+    lengths = rules.where("kind = 'prefix'").agg(F.sort_array(F.collect_set(F.length("rule"))).alias("__lengths"))
+    fitting = F.filter("__lengths", lambda n: n <= F.length(text))
+    begins = F.transform(fitting, lambda n: F.struct(F.lit("prefix").alias("kind"), F.left(F.col(text), n).alias("rule")))
+    whole = F.array(F.struct(F.lit("exact").alias("kind"), F.col(text).alias("rule")))
+    asked = numbered.where(F.col(text).isNotNull()).crossJoin(F.broadcast(lengths))  # one row: a set of lengths
+    asked = asked.select(row, F.inline(F.concat(whole, begins)))
+    hits = asked.join(rules.select("kind", "rule", "route"), ["kind", "rule"]).groupBy(row).agg(
+        F.count_if(F.col("kind") == "exact").alias("__exact"),
+        F.count_if(F.col("kind") == "prefix").alias("__prefixes"),
+        F.min(F.when(F.col("kind") == "exact", F.col("route"))).alias("__by_exact"),
+        F.min(F.when(F.col("kind") == "prefix", F.col("route"))).alias("__by_prefix"),
+    )
+    error = (
+        F.when(F.col("__exact") > 1, F.lit("matches_repeated_rules"))
+        .when((F.coalesce("__exact", F.lit(0)) == 0) & (F.col("__prefixes") > 1), F.lit("matches_multiple_prefixes"))
+    )
+    route = F.when(F.col("__exact") > 0, F.col("__by_exact")).otherwise(F.col("__by_prefix"))
+    return numbered.join(hits, row, "left").select(
+        *texts.columns, F.when(error.isNull(), route).alias("route"), error.alias("route_error")
+    )
+
+
+def repeated_rules(rules: DataFrame) -> DataFrame:
+    """(kind, rule, copies) of rules that occur more than once."""
+    return rules.groupBy("kind", "rule").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
 def latest_targets(screens: DataFrame, universe_id: str, priority: str = "P0") -> DataFrame:

@@ -440,3 +440,92 @@ def review_rules() -> list[Rule]:
         Rule("thesis_status is not allowed", ~F.coalesce(F.col("thesis_status").isin("intact", "uncertain", "broken"), F.lit(False))),
         Rule("action_after_review is not allowed", ~F.coalesce(F.col("action_after_review").isin(*fixed.DECISION_ACTIONS), F.lit(False))),
     ]
+
+
+# --- fields and responses of documents ----------------------------------------------
+def field_audit(documents: DataFrame, group: Sequence[str], variant: str) -> DataFrame:
+    """(group, documents, merged_schema): the one schema that all documents of a group fit, as text."""
+    return documents.groupBy(*group).agg(
+        F.count(variant).alias("documents"), F.schema_of_variant_agg(variant).alias("merged_schema")
+    )
+
+
+def canonical_digest(variant: Column) -> Column:
+    """SHA-256 of a document, whatever the order of its members and the white space of its text."""
+    return F.sha2(F.to_json(variant), 256)
+
+
+def repeated_responses(responses: DataFrame, keys: Sequence[str], variant: str) -> DataFrame:
+    """(keys, digest, copies) of equal documents fetched at equal keys; only digests are shuffled."""
+    digests = responses.select(*keys, canonical_digest(F.col(variant)).alias("digest"))
+    return digests.groupBy(*keys, "digest").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def declared_field_faults(responses: DataFrame, keys: Sequence[str], declared: str, detected: str) -> DataFrame:
+    """Responses whose declared field names are empty, repeated or not those detected (arrays)."""
+    names = F.coalesce(F.col(declared), F.array().cast("array<string>"))
+    faults = F.array_compact(
+        F.array(
+            F.when(F.col(declared).isNull() | F.exists(names, lambda n: n.isNull() | (n == "")), F.lit("declared_fields_invalid")),
+            F.when(F.size(F.array_distinct(names)) != F.size(names), F.lit("declared_fields_repeated")),
+            F.when(~F.sort_array(names).eqNullSafe(F.sort_array(detected)), F.lit("declared_fields_differ")),
+        )
+    )
+    return responses.select(*keys, F.explode(faults).alias("fault"))
+
+
+# --- published sets -----------------------------------------------------------------
+def screen_set_faults(
+    rows: DataFrame, source_date: Column, exchanges: Sequence[str], excluded_prefixes: Sequence[str],
+    code: str = "security_code", date: str = "as_of_date",
+) -> DataFrame:
+    """(code, fault) of screen rows that do not belong to their source, or occur twice.
+
+    A row must have a code of the universe and the date of its source. One pass; a repeated code is one row
+    of the result.
+    """
+    from tidemark.fixed_values import SECURITY_CODE_PATTERN
+
+    digits, exchange = F.substring_index(code, ".", 1), F.substring_index(code, ".", -1)
+    valid = F.coalesce(F.col(code).rlike(SECURITY_CODE_PATTERN) & exchange.isin(*exchanges), F.lit(False))
+    outside = F.lit(False)
+    for prefix in excluded_prefixes:
+        outside = outside | digits.startswith(prefix)
+    dated = F.col(date).cast("string").try_cast("date")
+    checks = [
+        (~valid, "invalid_code"),
+        (valid & outside, "outside_universe"),
+        (dated.isNull(), "invalid_date"),
+        (dated != source_date, "date_mismatch"),
+    ]
+    found = F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in checks]))
+    each = rows.select(F.col(code).alias("code"), F.explode(found).alias("fault"))
+    repeated = rows.groupBy(F.col(code).alias("code")).count().where("count > 1 AND code IS NOT NULL")
+    return each.unionByName(repeated.select("code", F.lit("repeated_code").alias("fault")))
+
+
+def fund_set_faults(
+    rows: DataFrame, universe_id: str, universe_version: str, exchanges: Sequence[str], expected_date: Column,
+    code: str = "etf_code", exchange: str = "exchange", date: str = "as_of_date",
+) -> DataFrame:
+    """(code, fault) of fund rows of another universe, exchange or date, and of repeated (code, date)."""
+    from tidemark.fixed_values import SECURITY_CODE_PATTERN
+
+    placed = F.coalesce(
+        F.col(code).rlike(SECURITY_CODE_PATTERN)
+        & F.col(exchange).isin(*exchanges)
+        & (F.substring_index(code, ".", -1) == F.col(exchange)),
+        F.lit(False),
+    )
+    dated = F.col(date).cast("string").try_cast("date")
+    checks = [
+        (~F.col("universe_id").eqNullSafe(F.lit(universe_id)), "universe_id_mismatch"),
+        (~F.col("universe_version").eqNullSafe(F.lit(universe_version)), "universe_version_mismatch"),
+        (~placed, "invalid_code_or_exchange"),
+        (dated.isNull(), "invalid_date"),
+        (dated != expected_date, "date_mismatch"),
+    ]
+    found = F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in checks]))
+    each = rows.select(F.col(code).alias("code"), F.explode(found).alias("fault"))
+    repeated = rows.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("code"), F.col(date)).count().where("count > 1")
+    return each.unionByName(repeated.select("code", F.lit("repeated_code_and_date").alias("fault")))

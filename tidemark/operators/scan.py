@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.detect import DETECTORS, forbidden_field
-from tidemark.session import settle
 
 
 def scan_text(df: DataFrame, keys: Sequence[str], text: str, detectors: dict | None = None) -> DataFrame:
@@ -30,52 +29,35 @@ def scan_field_names(df: DataFrame, keys: Sequence[str], names: str) -> DataFram
     return rows.select(*keys, forbidden_field(F.col("__name")).alias("category")).where(F.col("category").isNotNull())
 
 
+_FLATTEN = """
+WITH RECURSIVE opened(key, location, field, v, under, outside) AS (
+  SELECT key, '$', CAST(NULL AS STRING), v, CAST(NULL AS STRING), CAST(NULL AS STRING) FROM {documents}
+  UNION ALL
+  SELECT t.key, concat(t.location, CASE WHEN e.key IS NULL THEN '[]' ELSE '.*' END), e.key, e.value,
+    coalesce(e.key, t.under), CASE WHEN e.key IS NULL THEN t.outside ELSE t.under END
+  FROM opened AS t, LATERAL variant_explode(t.v) AS e)
+SELECT key, location, inline(array_compact(array(
+    CASE WHEN field IS NOT NULL THEN struct(field, CAST(NULL AS STRING) AS text) END,
+    CASE WHEN schema_of_variant(v) = 'STRING' THEN struct(CAST(NULL AS STRING) AS field, variant_get(v, '$', 'string') AS text) END
+  ))), under, outside AS outer
+FROM opened"""
+
+
 def flatten_documents(documents: DataFrame, key: str, variant: str) -> DataFrame:
     """(key, location, field, text, under, outer) rows of nested JSON documents.
 
-    ``under`` is the nearest member name above a text, ``outer`` the one above that.
+    A member of an object is a row with its name as ``field``, and a string is a row with its ``text``.
+    ``under`` is the nearest member name above a text, ``outer`` the one above that. Array positions are not part
+    of the location.
 
-    Each round opens one level of all documents, until none holds a container. Array
-    positions are not part of the location.
+    One recursive plan: each step opens the containers that the step before has found, and it ends when none is
+    left, however deep documents are. Rows stay where their document was read; nothing is shuffled.
     """
-    none = F.lit(None).cast("string")
-    level = documents.select(
-        F.col(key), F.lit("$").alias("location"), F.col(variant).alias("__v"), none.alias("under"), none.alias("outer")
-    )
-    done: list[DataFrame] = []
-    while True:
-        shape = F.schema_of_variant("__v")
-        container = shape.startswith("OBJECT") | shape.startswith("ARRAY")
-        done.append(
-            level.where(F.coalesce(~container, F.lit(False)) & (shape == "STRING")).select(
-                key, "location", F.lit(None).cast("string").alias("field"),
-                F.variant_get("__v", "$", "string").alias("text"), "under", "outer",
-            )
-        )
-        nested = level.where(F.coalesce(container, F.lit(False)))
-        opened = nested.lateralJoin(
-            documents.sparkSession.tvf.variant_explode(F.col("__v").outer()).toDF("__pos", "__key", "__value")
-        )
-        opened = settle(
-            opened.select(
-                key,
-                F.concat("location", F.when(F.col("__key").isNull(), F.lit("[]")).otherwise(F.lit(".*"))).alias("location"),
-                F.col("__key").alias("field"),
-                F.col("__value").alias("__v"),
-                F.coalesce("__key", "under").alias("under"),
-                F.when(F.col("__key").isNull(), F.col("outer")).otherwise(F.col("under")).alias("outer"),
-            )
-        )
-        if opened.isEmpty():
-            break
-        done.append(
-            opened.where(F.col("field").isNotNull()).select(key, "location", "field", none.alias("text"), "under", "outer")
-        )
-        level = opened.select(key, "location", "__v", "under", "outer")
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+    spark = documents.sparkSession
+    for limit in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit"):
+        spark.conf.set(limit, "-1")  # the recursion ends by itself
+    named = documents.select(F.col(key).alias("key"), F.col(variant).alias("v"))
+    return spark.sql(_FLATTEN, documents=named).withColumnRenamed("key", key)
 
 
 def scan_documents(documents: DataFrame, key: str, variant: str) -> DataFrame:

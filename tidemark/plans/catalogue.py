@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("tidemark.plans.catalogue_screening", "tidemark.plans.catalogue_data", "tidemark.plans.catalogue_streams")
+MODULES = (
+    "tidemark.plans.catalogue_documents",
+    "tidemark.plans.catalogue_screening",
+    "tidemark.plans.catalogue_data",
+    "tidemark.plans.catalogue_streams",
+)
 
 
 def load() -> None:

@@ -149,11 +149,11 @@ def or_join_related(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(
     "id_hash",
-    "SELECT page_id, left(sha256(concat('pages', chr(0), url, chr(0), page_id::VARCHAR, chr(0), left(html, 80))), 24) AS id FROM pages",
+    "SELECT page_id, left(sha256(concat('pages', chr(0), url, chr(0), page_id::VARCHAR, chr(0), html)), 24) AS id FROM pages",
 )
 def id_hash(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    key = tx.content_id("pages", F.col("url"), F.col("page_id").cast("string"), F.substring("html", 1, 80))
+    key = tx.content_id("pages", F.col("url"), F.col("page_id").cast("string"), F.col("html"))
     return pages.select("page_id", key.alias("id"))
 
 

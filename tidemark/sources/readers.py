@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import path_date
@@ -74,15 +75,44 @@ def path_contract(envelopes: DataFrame) -> DataFrame:
     return envelopes.select("raw_path", errors.alias("path_errors")).where(F.size("path_errors") > 0)
 
 
-def read_table(spark: SparkSession, manifest: DataFrame, root: str, table: str, schema: str) -> DataFrame:
-    """A JSON-lines table through its manifest (one entry per physical file).
+def below(path: str | Column, root: str) -> Column:
+    """A file's path below ``root``, whatever scheme and authority stand before it."""
+    column = F.col(path) if isinstance(path, str) else path
+    bare = re.sub(r"^[a-z][a-z0-9+.-]*:(//[^/]*)?(?=/)", "", root.rstrip("/"), flags=re.IGNORECASE)
+    return F.substring_index(column, f"{bare}/", -1)
 
-    A manifest names files, not rows: the list of paths is what the driver hands the reader.
+
+def read_table(
+    spark: SparkSession, manifest: DataFrame, root: str, table: str, schema: str, glob: str = "*"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, problems) of a JSON-lines table through its manifest (table_name, file, sha256).
+
+    Files found below ``root`` meet their manifest entries in a join, so no list of files goes through the
+    driver; a file's digest is taken of the very bytes that are parsed. Rows come from files whose digest is the
+    one of the manifest. ``problems``: entries without a file, files of another digest, and lines that are no JSON
+    object. Files must fit into a row, as parts of bounded size do; what no entry names is not read.
     """
-    files = [r["file"] for r in manifest.where(F.col("table_name") == table).select("file").collect()]
-    if not files:
-        return spark.createDataFrame([], schema)
-    return read_lines(spark, [f"{root}/{f}" for f in files], schema)
+    entries = manifest.where(F.col("table_name") == table).select("file", "sha256")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob)
+        .load(root)
+        .select(below("path", root).alias("file"), "content")
+    )
+    met = entries.join(files, "file", "left").withColumn(
+        "problem",
+        F.when(F.col("content").isNull(), F.lit("missing_file")).when(
+            F.sha2("content", 256) != F.col("sha256"), F.lit("hash_mismatch")
+        ),
+    )
+    lines = met.where(F.col("problem").isNull()).select(
+        "file", F.explode(F.split(F.decode("content", "UTF-8"), "\r?\n")).alias("line")
+    )
+    lines = lines.where(F.trim("line") != "").withColumn("whole", F.try_parse_json("line").isNotNull() & F.trim("line").startswith("{"))
+    rows = lines.where("whole").select(F.from_json("line", schema).alias("row")).select("row.*")
+    bad = lines.where(~F.col("whole")).select("file", F.lit("invalid_line").alias("problem"))
+    return rows, met.where(F.col("problem").isNotNull()).select("file", "problem").unionByName(bad)
 
 
 def read_contract_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -137,8 +167,7 @@ def manifest_check(manifest: DataFrame, digests: DataFrame, root: str) -> DataFr
 
     Files are told apart by their path below ``root``, so equal names in two bundles do not meet.
     """
-    below = F.substring_index("path", root.rstrip("/") + "/", -1)
-    found = digests.select(below.alias("file"), F.col("sha256").alias("__sha256"))
+    found = digests.select(below("path", root).alias("file"), F.col("sha256").alias("__sha256"))
     joined = manifest.join(found, "file", "left")
     status = (
         F.when(F.col("__sha256").isNull(), F.lit("missing_file"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import shard_of
 from tidemark.operators.ordering import byte_buckets
-from tidemark.sources.readers import file_digests
+from tidemark.sources.readers import below, file_digests
 
 
 def write_partitioned(
@@ -52,12 +52,17 @@ def part_summary(parts: DataFrame) -> DataFrame:
     )
 
 
-def table_manifest(spark: SparkSession, path: str, table: str, glob: str = "part-*") -> DataFrame:
-    """One entry per physical file of a written table, with digest and size."""
-    digests = file_digests(spark, path, glob)
-    return digests.select(
-        F.lit(table).alias("table_name"), F.col("path").alias("file"), "sha256", "byte_size"
-    )
+def table_manifest(spark: SparkSession, root: str, table: str, glob: str = "part-*", folder: str = "") -> DataFrame:
+    """One entry per physical file of a table written to ``folder`` below ``root``: path below ``root``, digest, size."""
+    digests = file_digests(spark, f"{root}/{folder}" if folder else root, glob)
+    return digests.select(F.lit(table).alias("table_name"), below("path", root).alias("file"), "sha256", "byte_size")
+
+
+def coverage_of(df: DataFrame, dates: Sequence[str] = (), keys: Sequence[str] = ()) -> DataFrame:
+    """The coverage part of a manifest: records, distinct keys, and first and last of each date column."""
+    spans = [f(c).cast("string").alias(f"{c}_{n}") for c in dates for n, f in (("first", F.min), ("last", F.max))]
+    count = [F.countDistinct(*[F.col(k) for k in keys]).alias("key_count")] if keys else []
+    return df.agg(F.count(F.lit(1)).alias("record_count"), *count, *spans)
 
 
 def table_counts(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.versions import latest_by
@@ -42,6 +44,61 @@ def first_arrivals(stream: DataFrame, keys: Sequence[str], event_time: str, dela
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class FirstSeen(StatefulProcessor):
+    """Lets the first row of a key through and remembers the key until its timer fires.
+
+    The timer stands ``delay_ms`` after the event time of the row let through, so the state holds the keys of
+    that span only. A repeat before then is dropped, whether it comes in the same batch or in a later one; after then
+    the key is new again. Of several rows of one batch the one with the smallest event time, then the
+    smallest ``order`` columns, counts as the first.
+    """
+
+    def __init__(self, event_time: str, order: list[str], delay_ms: int):
+        self.event_time, self.order, self.delay_ms = event_time, order, delay_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "at long")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 (names of the interface)
+        first = min(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in (self.event_time, *self.order)))
+        if not self.seen.exists():
+            until = int(first[self.event_time].timestamp() * 1000) + self.delay_ms
+            self.seen.update((until,))
+            self.handle.registerTimer(until)
+            yield first
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        self.seen.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def first_seen(
+    stream: DataFrame, keys: Sequence[str], event_time: str, delay_ms: int, order: Sequence[str] = ()
+) -> DataFrame:
+    """The first arrival of each key, by state that a timer frees; see :class:`FirstSeen`.
+
+    Rows without an event time are left out, and rows older than the watermark (``delay_ms`` behind the newest row) are too late.
+    The session needs the state store ``ROCKSDB``.
+    """
+    stream = stream.where(F.col(event_time).isNotNull()).withWatermark(event_time, f"{delay_ms} milliseconds")
+    return stream.groupBy(*keys).transformWithState(
+        FirstSeen(event_time, list(order), delay_ms), stream.schema, "Append", "EventTime"
+    )
+
+
+def append_all(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of a stateful stream to ``target`` in as many batches as its source gives, then stop."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", target)
+    return writer.outputMode("append").trigger(availableNow=True).start()
+
+
 def upsert_latest(
     stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], order: Sequence[str | Column]
 ) -> StreamingQuery:
