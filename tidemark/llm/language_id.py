@@ -24,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_gru import WIDTH, ByteGru, windows_of
-from tidemark.llm.common import slices, text_bytes
+from tidemark.llm.common import slices, text_bytes, written
 
 SAMPLED, WINDOWS = 800, 6
 UNKNOWN = "und"
+#: Languages whose counts are broadcast; more of them meet the rows in a shuffle.
+BROADCAST_LANGUAGES = 100_000
 _LETTER = re.compile("[A-Za-z]")
 
 
@@ -38,7 +40,9 @@ def _has_letter(text: str) -> bool:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> ByteGru | None:
     """A network from rows with a language; null where there is none."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
+    counts = written(rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")), "languages")
+    if counts.count() <= BROADCAST_LANGUAGES:  # texts stay where they are
+        counts = F.broadcast(counts)
     share = F.least(F.lit(1.0), F.lit(float(SAMPLED)) / F.col("n"))
     place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sampled = (
