@@ -214,6 +214,15 @@ def mapping_coverage(parsed: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
+def unmapped_fields(parsed: DataFrame, group: Sequence[str], name: str = "base_field_name") -> DataFrame:
+    """(group, name, parts): the union over all parts of the field names without a mapping, in long form."""
+    return (
+        parsed.where(F.col("mapping_status") == "unmapped")
+        .groupBy(*group, name)
+        .agg(F.count(F.lit(1)).alias("parts"))
+    )
+
+
 def period_evidence(parsed: DataFrame, group: Sequence[str]) -> DataFrame:
     """Periods named by financial fields, report labels and filing dates of each snapshot.
 

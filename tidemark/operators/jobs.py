@@ -55,6 +55,22 @@ def snapshot_summary(bound: DataFrame) -> DataFrame:
     )
 
 
+def historical_snapshots(snapshots: DataFrame, jobs: DataFrame) -> DataFrame:
+    """(job_id, fingerprint) of snapshots that answer what a job asked in an earlier version.
+
+    ``jobs``: job_id, historical_queries array<struct<request_version, query>>. A snapshot that names its job must
+    name the version with the query; one that names none is history of every job that once asked its query.
+    Both are equi joins on the exploded history, which repeats nothing.
+    """
+    history = jobs.select("job_id", F.inline("historical_queries")).distinct()
+    named = snapshots.where(F.col("job_id").isNotNull()).join(
+        history, ["job_id", "request_version", "query"], "left_semi"
+    )
+    loose = snapshots.where(F.col("job_id").isNull()).select("query", "fingerprint")
+    asked = history.select("job_id", "query").distinct()
+    return named.select("job_id", "fingerprint").unionByName(loose.join(asked, "query").select("job_id", "fingerprint"))
+
+
 def fingerprint(query: Column, names: Column, *evidence: Column) -> Column:
     """Digest of what a snapshot asked for and got, independent of its rows."""
     parts = [F.coalesce(query, F.lit("")), F.array_join(F.sort_array(names), ",")]
@@ -198,8 +214,8 @@ def job_status(
 def import_assessment(collections: DataFrame, responses: DataFrame, members: DataFrame) -> DataFrame:
     """``ready_to_normalize`` or ``quarantined_raw_only`` with the blocking reasons.
 
-    The reasons are those found here and those given in ``contract_errors``; reasons of the
-    contract, the plan and single rows are only of the second kind.
+    The reasons are those found here and those given in ``contract_errors``; :func:`assess_collections`
+    derives those from the contract, the plan and the rows.
 
     ``collections``: collection_id, job_known, version_matches, period_matches,
     query_matches, minimum_expected_count, contract_errors array<string>.
@@ -267,6 +283,64 @@ def import_assessment(collections: DataFrame, responses: DataFrame, members: Dat
     )
 
 
+def assess_collections(
+    collections: DataFrame, plan: DataFrame | None, responses: DataFrame, rows: DataFrame, code: str = "股票代码"
+) -> DataFrame:
+    """:func:`import_assessment` with every reason derived from the contract, the plan and the returned rows.
+
+    ``collections``: collection_id, query, job_id, request_version, expected_period_end, query_sha256 (null without
+    a job contract) and the period sets financial_periods, label_periods, filing_periods.
+    ``plan``: job_id, request_version, period_end, query, minimum_expected_count, one row for each job, or None where
+    there is no plan. ``rows``: collection_id and the returned row as variant.
+    """
+    contracted = F.col("job_id").isNotNull()
+    if plan is None:
+        schema = "__job string, __version int, __period string, __query string, minimum_expected_count int"
+        planned = collections.sparkSession.createDataFrame([], schema)
+    else:
+        planned = plan.select(
+            F.col("job_id").alias("__job"), F.col("request_version").alias("__version"), F.col("period_end").alias("__period"),
+            F.col("query").alias("__query"), "minimum_expected_count",
+        )
+    shape = F.schema_of_variant("row")
+    read = F.trim(F.when(F.schema_of_variant(F.try_variant_get("row", f"$['{code}']", "variant")) == "STRING", F.try_variant_get("row", f"$['{code}']", "string")))
+    marked = rows.select(
+        "collection_id",
+        F.coalesce(shape.startswith("OBJECT"), F.lit(False)).alias("__object"),
+        F.when(read != "", read).alias("code"),
+    )
+    faulty = marked.groupBy("collection_id").agg(
+        F.bool_or(~F.col("__object")).alias("__invalid"),
+        F.bool_or(F.col("__object") & F.col("code").isNull()).alias("__codeless"),
+    )
+    members = marked.where(F.col("code").isNotNull()).select("collection_id", "code")
+    joined = collections.join(planned, F.col("job_id") == F.col("__job"), "left").join(faulty, "collection_id", "left")
+    known = F.col("__job").isNotNull()
+    only = F.array("expected_period_end")
+    dated = contracted & F.col("expected_period_end").isNotNull()
+    errors = [
+        (~contracted, "financial_job_contract_missing"),
+        (contracted & F.lit(plan is None), "financial_plan_missing"),
+        (known & ~F.sha2("__query", 256).eqNullSafe(F.col("query_sha256")), "financial_plan_query_hash_mismatch"),
+        (F.col("__invalid"), "financial_row_invalid"),
+        (F.col("__codeless"), "financial_security_code_missing"),
+        (dated & (F.col("financial_periods") != only), "financial_period_mismatch"),
+        (dated & (F.col("label_periods") != only), "financial_report_period_label_mismatch"),
+        (dated & (F.col("filing_periods") != only), "financial_filing_date_period_mismatch"),
+    ]
+    assessed = joined.select(
+        "collection_id",
+        # What cannot be looked up, as there is no contract or no plan, is no unknown job.
+        (known | ~contracted | F.lit(plan is None)).alias("job_known"),
+        F.coalesce(F.col("__version") == F.col("request_version"), ~known).alias("version_matches"),
+        F.coalesce(F.col("__period") == F.col("expected_period_end"), ~known).alias("period_matches"),
+        F.coalesce(F.col("__query") == F.col("query"), ~known).alias("query_matches"),
+        "minimum_expected_count",
+        F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in errors])).alias("contract_errors"),
+    )
+    return import_assessment(assessed, responses, members)
+
+
 def pending_work(expected: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
     """Expected work that has no output yet."""
     return expected.join(done, list(on), "left_anti")
