@@ -41,6 +41,8 @@ MISSED = 1e-5
 #: Members of a bucket, and shingles of a component, that are held in one group.
 BUCKET_MEMBERS = 40_000
 COMPONENT_SHINGLES = 4_000_000
+#: Shingles that a full set is compared with at a time.
+COMPARED = 200_000
 
 _MIX_1, _MIX_2, _MIX_3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _ODD = np.random.default_rng(20).integers(1, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -279,17 +281,24 @@ def _verified(members: DataFrame, width: int, similarity: tuple[int, int], chunk
         flat, ends = np.concatenate(sets), np.cumsum(n)
         common = np.array([np.bincount(c).argmax() for c in sig.T])
 
+        def batches_of(live: np.ndarray) -> list[np.ndarray]:
+            """Members whose sets are compared at a time: ``COMPARED`` shingles, or a single set."""
+            return np.split(live, np.flatnonzero(np.diff(np.cumsum(n[live]) // COMPARED)) + 1)
+
+        def enough(m: int, live: np.ndarray) -> np.ndarray:
+            first = np.cumsum(n[live]) - n[live]
+            at = np.arange(n[live].sum()) + np.repeat(ends[live] - n[live] - first, n[live])
+            place = np.searchsorted(sets[m], flat[at])
+            place[place == n[m]] = 0
+            shared = np.add.reduceat((sets[m][place] == flat[at]).astype(np.int32), first)
+            return of * shared >= top * (n[m] + n[live] - shared)
+
         def similar(m: int, others: np.ndarray) -> np.ndarray:
             small, large = np.minimum(n[m], n[others]), np.maximum(n[m], n[others])
             ok = (of * small >= top * large) & (small > 0)  # no signature decides here, only full sets
             live = others[ok]
             if len(live):
-                at = np.concatenate([np.arange(ends[o] - n[o], ends[o]) for o in live])
-                place = np.searchsorted(sets[m], flat[at])
-                place[place == n[m]] = 0
-                hit = sets[m][place] == flat[at]
-                shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(n[live]) - n[live])
-                ok[ok] = of * shared >= top * (n[m] + n[live] - shared)
+                ok[ok] = np.concatenate([enough(m, part) for part in batches_of(live)])
             return ok
 
         order = np.argsort((sig != common).sum(axis=1), kind="stable")
