@@ -36,7 +36,8 @@ def test_query_equals_sql(spark, database, sf_small, name):
     columns = sorted(frame.columns)
     got = sorted((tuple(normal(r[c]) for c in columns) for r in frame.collect()), key=repr)
     if name not in ORACLES:
-        assert got or name
+        # The two scans of tables as they are: the tables hold none of what the detectors find.
+        assert name in ("conversation_scan", "doc_scan") and got == []
         return
     cursor = database.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]

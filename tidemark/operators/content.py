@@ -151,9 +151,9 @@ def content_table(
     code, name = single_security(F.col("stock_infos"))
     marked = items.withColumn("published_at", published).withColumn(
         "reject_reason",
-        F.when(F.coalesce(F.trim("title"), F.lit("")) == "", F.lit("title is required"))
-        .when(F.coalesce(F.trim("url"), F.lit("")) == "", F.lit("url is required"))
-        .when(F.col("published_at").isNull(), F.lit("publish_time is invalid")),
+        F.when(F.coalesce(F.trim("title"), F.lit("")) == "", F.lit("title:required"))
+        .when(F.coalesce(F.trim("url"), F.lit("")) == "", F.lit("url:required"))
+        .when(F.col("published_at").isNull(), F.lit("publish_time:invalid")),
     )
     rejected = marked.where(F.col("reject_reason").isNotNull())
     columns = [
@@ -250,6 +250,12 @@ def document_rows(documents: DataFrame) -> DataFrame:
     )
 
 
+def document_bodies(documents: DataFrame) -> DataFrame:
+    """(id, body) of the reports of :func:`document_rows`: the whole text, without its title line."""
+    text = F.regexp_replace(F.col("text"), r"\A(?:[ \t]*\r?\n)*#[ \t]+[^\n]*(?:\n|\z)", "")
+    return documents.select(F.concat(F.lit("document-"), F.col("path")).alias("id"), F.trim(text).alias("body"))
+
+
 def feed(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0].select(*FEED_COLUMNS)
     for frame in frames[1:]:

@@ -90,20 +90,20 @@ def seen_sources(items: DataFrame) -> DataFrame:
 def coverage_gaps(results: DataFrame) -> DataFrame:
     """One row per gap of a task; ``succeeded`` says whether the task ran."""
     scoped = F.col("scope_type") == "p0_securities"
-    gaps = F.when(~F.col("succeeded"), F.array(F.lit("query execution failed"))).otherwise(
+    gaps = F.when(~F.col("succeeded"), F.array(F.lit("not_run"))).otherwise(
         F.array_compact(
             F.array(
                 F.when(
                     F.col("truncated"),
-                    F.format_string("returned %d of %d reported results", "returned_count", "reported_total"),
+                    F.format_string("truncated:%d/%d", "returned_count", "reported_total"),
                 ),
                 F.when(
                     scoped & (F.col("unidentified_items") > 0),
-                    F.format_string("%d returned items have no security identity", "unidentified_items"),
+                    F.format_string("unidentified:%d", "unidentified_items"),
                 ),
                 F.when(
                     scoped & (F.col("returned_count") > 0) & (F.col("matched_items") == 0),
-                    F.lit("no returned item is attributable to a P0 target"),
+                    F.lit("no_target_found"),
                 ),
             )
         )

@@ -326,20 +326,20 @@ def contract_rules(
     def held(c: str) -> Column:
         return F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
 
-    rules = [Rule(f"{c} is required", held(c) == "") for c in required]
+    rules = [Rule(f"{c}:required", held(c) == "") for c in required]
     for c in dates:
         valid = held(c).rlike(ISO_DATE_PATTERN) & loose_date(held(c)).isNotNull()
-        rules.append(Rule(f"{c} must be YYYY-MM-DD", (held(c) != "") & ~valid))
+        rules.append(Rule(f"{c}:no_iso_date", (held(c) != "") & ~valid))
     for c in non_negative:
         value = number(held(c))
-        rules.append(Rule(f"{c} must be nonnegative", (held(c) != "") & F.coalesce(value < 0, F.lit(True))))
+        rules.append(Rule(f"{c}:negative", (held(c) != "") & F.coalesce(value < 0, F.lit(True))))
     for c in ratios:
         value = number(held(c))
         rules.append(
-            Rule(f"{c} must be between 0 and 1", (held(c) != "") & F.coalesce(~value.between(0, 1), F.lit(True)))
+            Rule(f"{c}:no_ratio", (held(c) != "") & F.coalesce(~value.between(0, 1), F.lit(True)))
         )
     for c, allowed in (enums or {}).items():
-        rules.append(Rule(f"{c} is not an allowed value", (held(c) != "") & ~held(c).isin(*allowed)))
+        rules.append(Rule(f"{c}:not_listed", (held(c) != "") & ~held(c).isin(*allowed)))
     return rules
 
 
@@ -360,12 +360,12 @@ def card_rules() -> list[Rule]:
 
     weight = F.col("target_weight")
     return [
-        Rule("security_code is required", F.coalesce(F.col("security_code"), F.lit("")) == ""),
-        Rule("status is not an allowed value", outside("status", fixed.CARD_STATUSES)),
-        Rule("thesis_status is not an allowed value", outside("thesis_status", fixed.THESIS_STATUSES)),
-        Rule("valuation_status is not an allowed value", outside("valuation_status", fixed.VALUATION_STATUSES)),
-        Rule("risk_status is not an allowed value", outside("risk_status", fixed.RISK_STATUSES)),
-        Rule("target_weight must be null or between 0 and 1", weight.isNotNull() & ~weight.between(0, 1)),
+        Rule("security_code:required", F.coalesce(F.col("security_code"), F.lit("")) == ""),
+        Rule("status:not_listed", outside("status", fixed.CARD_STATUSES)),
+        Rule("thesis_status:not_listed", outside("thesis_status", fixed.THESIS_STATUSES)),
+        Rule("valuation_status:not_listed", outside("valuation_status", fixed.VALUATION_STATUSES)),
+        Rule("risk_status:not_listed", outside("risk_status", fixed.RISK_STATUSES)),
+        Rule("target_weight:no_ratio", weight.isNotNull() & ~weight.between(0, 1)),
     ]
 
 
@@ -391,29 +391,29 @@ def research_rules() -> list[Rule]:
         F.map_values(valuation), lambda v: blank_text(v["method"]) | v["estimated_value"].isNull()
     )
     return [
-        Rule("status is not allowed", ~F.coalesce(F.col("status").isin(*fixed.RESEARCH_STATUSES), F.lit(False))),
-        Rule("priority is not allowed", ~F.coalesce(F.col("priority").isin("P0", "P1", "P2", "Reject"), F.lit(False))),
-        Rule("fact_id is required", F.exists(ids, lambda i: blank_text(i))),
-        Rule("fact_id is duplicated", repeated_ids(F.filter(ids, lambda i: ~blank_text(i)))),
+        Rule("status:not_listed", ~F.coalesce(F.col("status").isin(*fixed.RESEARCH_STATUSES), F.lit(False))),
+        Rule("priority:not_listed", ~F.coalesce(F.col("priority").isin("P0", "P1", "P2", "Reject"), F.lit(False))),
+        Rule("fact_id:required", F.exists(ids, lambda i: blank_text(i))),
+        Rule("fact_id:repeated", repeated_ids(F.filter(ids, lambda i: ~blank_text(i)))),
         Rule(
-            "fact field is required",
+            "facts:incomplete",
             F.exists(facts, lambda f: blank_text(f["claim"]) | blank_text(f["source_url"]) | f["as_of_date"].isNull()),
         ),
         Rule(
-            "confidence is not allowed",
+            "confidence:not_listed",
             F.exists(inferences, lambda i: ~F.coalesce(i["confidence"].isin(*fixed.CONFIDENCE_VALUES), F.lit(False))),
         ),
         Rule(
-            "supporting_fact_ids is required",
+            "supporting_fact_ids:required",
             F.exists(inferences, lambda i: F.coalesce(F.size(i["supporting_fact_ids"]), F.lit(0)) <= 0),
         ),
-        Rule("unknown facts referenced", F.exists(inferences, lambda i: unknown_references(i["supporting_fact_ids"], ids))),
-        Rule("valuation must contain bull, base, and bear", F.sort_array(F.map_keys(valuation)) != F.sort_array(cases)),
-        Rule("proposed_weight must be null or 0..1", weight.isNotNull() & ~weight.between(0, 1)),
-        Rule("decision-ready research must contain facts", ready & (F.size(facts) == 0)),
-        Rule("decision-ready research must contain thesis_breakers", ready & (F.size("thesis_breakers") == 0)),
-        Rule("decision-ready valuation is incomplete", ready & incomplete),
-        Rule("decision-ready research must contain red-team challenges", ready & (F.size(F.filter("red_team", lambda r: ~blank_text(r))) == 0)),
+        Rule("supporting_fact_ids:unknown", F.exists(inferences, lambda i: unknown_references(i["supporting_fact_ids"], ids))),
+        Rule("valuation:cases", F.sort_array(F.map_keys(valuation)) != F.sort_array(cases)),
+        Rule("proposed_weight:no_ratio", weight.isNotNull() & ~weight.between(0, 1)),
+        Rule("ready:facts", ready & (F.size(facts) == 0)),
+        Rule("ready:thesis_breakers", ready & (F.size("thesis_breakers") == 0)),
+        Rule("ready:valuation", ready & incomplete),
+        Rule("ready:red_team", ready & (F.size(F.filter("red_team", lambda r: ~blank_text(r))) == 0)),
     ]
 
 
@@ -424,11 +424,11 @@ def decision_rules() -> list[Rule]:
     weight = F.col("target_weight")
     active = ~F.col("action").isin("DEFER", "REJECT")
     return [
-        Rule("action is not allowed", ~F.coalesce(F.col("action").isin(*fixed.DECISION_ACTIONS), F.lit(False))),
-        Rule("final_authority must remain investor", ~F.col("final_authority").eqNullSafe(F.lit("investor"))),
-        Rule("target_weight must be null or 0..1", weight.isNotNull() & ~weight.between(0, 1)),
-        Rule("reason_for_decision is required", active & (F.coalesce(F.col("reason_for_decision"), F.lit("")) == "")),
-        Rule("thesis_breakers is required", active & (F.size("thesis_breakers") == 0)),
+        Rule("action:not_listed", ~F.coalesce(F.col("action").isin(*fixed.DECISION_ACTIONS), F.lit(False))),
+        Rule("final_authority:not_investor", ~F.col("final_authority").eqNullSafe(F.lit("investor"))),
+        Rule("target_weight:no_ratio", weight.isNotNull() & ~weight.between(0, 1)),
+        Rule("reason_for_decision:required", active & (F.coalesce(F.col("reason_for_decision"), F.lit("")) == "")),
+        Rule("thesis_breakers:required", active & (F.size("thesis_breakers") == 0)),
     ]
 
 
@@ -437,8 +437,8 @@ def review_rules() -> list[Rule]:
     from tidemark import fixed_values as fixed
 
     return [
-        Rule("thesis_status is not allowed", ~F.coalesce(F.col("thesis_status").isin("intact", "uncertain", "broken"), F.lit(False))),
-        Rule("action_after_review is not allowed", ~F.coalesce(F.col("action_after_review").isin(*fixed.DECISION_ACTIONS), F.lit(False))),
+        Rule("thesis_status:not_listed", ~F.coalesce(F.col("thesis_status").isin("intact", "uncertain", "broken"), F.lit(False))),
+        Rule("action_after_review:not_listed", ~F.coalesce(F.col("action_after_review").isin(*fixed.DECISION_ACTIONS), F.lit(False))),
     ]
 
 

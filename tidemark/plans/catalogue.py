@@ -7,6 +7,7 @@ import importlib
 MODULES = (
     "tidemark.plans.catalogue_documents",
     "tidemark.plans.catalogue_normalized",
+    "tidemark.plans.catalogue_published",
     "tidemark.plans.catalogue_screening",
     "tidemark.plans.catalogue_data",
     "tidemark.plans.catalogue_streams",

@@ -90,23 +90,61 @@ def publication_gate(records: DataFrame, key: str, url: str = "url") -> tuple[Da
     )
 
 
-def content_mart(news: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
-    """Deduplicated news and events that may be published, and what blocks the rest.
-
-    News summaries may differ between copies; for events any difference is a conflict.
+def content_mart(
+    news: DataFrame, events: DataFrame, reports: DataFrame | None = None, sources: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Deduplicated news and events that may be published with the reports, what blocks the rest, and the status
+    of each domain and of all of them together.
+
+    News summaries may differ between copies; for events any difference is a conflict. ``reports``: rows of
+    :func:`~tidemark.operators.content.document_rows`. ``sources``: (domain, source) of the bundles that were read;
+    where it is absent, a domain with records has a source.
     """
     public_news, news_conflicts = merge_duplicates(publish_columns(news, fixed.CONTENT_COLUMNS), "newsId", ["summary"])
     public_events, event_conflicts = merge_duplicates(publish_columns(events, fixed.CONTENT_COLUMNS), "eventId")
     safe_news, rejected_news = publication_gate(public_news, "newsId")
     safe_events, rejected_events = publication_gate(public_events, "eventId")
-    return {
+    parts = {"news": (safe_news, "publishedAt"), "events": (safe_events, "publishedAt")}
+    if reports is not None:
+        parts["reports"] = (reports, "date")
+    out = {
         "news": safe_news,
         "events": safe_events,
         "news_conflicts": news_conflicts,
         "event_conflicts": event_conflicts,
         "news_rejected": rejected_news,
         "event_rejected": rejected_events,
+        "domains": domain_statuses(parts, sources),
     }
+    return out if reports is None else out | {"reports": reports}
+
+
+def domain_statuses(parts: dict[str, tuple[DataFrame, str]], sources: DataFrame | None = None) -> DataFrame:
+    """(domain, status, source_count, record_count, as_of_date) of each part, and a row ``content`` for all.
+
+    ``parts``: domain -> (records, date column). One aggregation over the parts; no count goes through the driver.
+    """
+    told = [
+        df.select(F.lit(name).alias("domain"), F.lit(1).alias("n"), F.nullif(F.left(F.col(day).cast("string"), F.lit(10)), F.lit("")).alias("day"))
+        for name, (df, day) in parts.items()
+    ]
+    records = told[0]
+    for part in told[1:]:
+        records = records.unionByName(part)
+    names = records.sparkSession.createDataFrame([(n,) for n in parts], "domain string")
+    counted = names.join(records.groupBy("domain").agg(F.sum("n").alias("record_count"), F.max("day").alias("as_of_date")), "domain", "left")
+    if sources is None:
+        counted = counted.withColumn("source_count", F.when(F.col("record_count") > 0, 1))
+    else:
+        bundles = sources.groupBy("domain").agg(F.countDistinct("source").alias("source_count"))
+        counted = counted.join(bundles, "domain", "left")
+    zero = F.lit(0).cast("long")
+    counted = counted.select(
+        "domain", F.coalesce("source_count", zero).cast("long").alias("source_count"), F.coalesce("record_count", zero).cast("long").alias("record_count"), "as_of_date"
+    )
+    whole = counted.agg(F.sum("source_count").alias("source_count"), F.sum("record_count").alias("record_count"), F.max("as_of_date").alias("as_of_date"))
+    both = counted.unionByName(whole.withColumn("domain", F.lit("content")))
+    return both.withColumn("status", domain_status(F.col("source_count"), F.col("record_count")))
 
 
 def period_mart(facts: DataFrame, metrics: DataFrame, reports: DataFrame, keys: Sequence[str] = ("security_code", "period_end")) -> DataFrame:
