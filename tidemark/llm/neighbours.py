@@ -2,7 +2,8 @@
 
 Vectors are brought to length one, turned by a random rotation and dealt to the list of
 their nearest centre. A query looks into a share of the lists that hold a vector, nearest
-first, and into further ones until they hold ``k`` vectors besides itself. There, candidates lie in
+first, and into further ones until they hold ``k`` vectors besides itself. The number of lists, up to the root of the
+number of vectors, and that share are chosen by what finds the neighbours of held-out vectors of the sample at least cost. There, candidates lie in
 column blocks: after each block of dimensions the partial squared distances are put to a
 hypothesis test, and a candidate whose distance, estimated from the dimensions seen, is
 too far beyond the query's present k-th is abandoned. Whoever survives all dimensions is
@@ -28,8 +29,12 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import arrow_batch, written
 
-#: Lists, the share of those not empty that a query looks into, and vectors that the centres are fitted on.
-LISTS, PROBED, SAMPLED = 64, 0.7, 16_384
+#: The fewest and the most lists that are tried, and vectors that the centres are fitted on.
+LEAST_LISTS, MOST_LISTS, SAMPLED = 64, 1024, 16_384
+#: Share of the true neighbours of held-out vectors of the sample that must lie in the lists looked into, and how many are held out.
+RECALL, HELD_OUT = 0.97, 256
+#: What one more list looked into costs a query, in distances.
+LIST_COST = 50
 #: Candidates and queries of one group.
 CANDIDATES, QUERIES = 8_192, 1_024
 #: Dimensions of a column block, and how far a candidate must be beyond the k-th to be abandoned.
@@ -83,6 +88,43 @@ def centres(sample: np.ndarray, lists: int, rounds: int = 10, seed: int = 3) ->
     return found
 
 
+def lists_to_probe(sample: np.ndarray, found: np.ndarray, k: int) -> int:
+    """Nearest lists of ``found`` in which ``RECALL`` of the ``k`` nearest of held-out vectors lie.
+
+    Measured inside the sample, where neighbours are farther apart than among all vectors, so
+    it asks for more lists than all vectors do.
+    """
+    held = np.arange(0, len(sample), max(1, len(sample) // HELD_OUT))
+    near = sample[held] @ sample.T
+    near[np.arange(len(held)), held] = -np.inf
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return len(found)
+    true = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    place = np.argsort(np.argsort(-(sample[held] @ found.T), axis=1, kind="stable"), axis=1)
+    own = (sample @ found.T).argmax(axis=1)
+    ranks = np.sort(np.take_along_axis(place, own[true], axis=1), axis=None)
+    return int(ranks[min(len(ranks) - 1, int(np.ceil(RECALL * len(ranks))) - 1)]) + 1
+
+
+def fitted_lists(sample: np.ndarray, total: int, k: int, lists: int | None) -> tuple[np.ndarray, float]:
+    """Centres and the share of lists to look into, of the number of lists that costs a query least.
+
+    Tried are ``LEAST_LISTS`` and its doubles up to the root of ``total``: vectors with structure gain by
+    many small lists, vectors without it only pay for them.
+    """
+    upto = min(MOST_LISTS, max(LEAST_LISTS, int(np.sqrt(total))), max(LEAST_LISTS, len(sample) // 16))
+    tried = [lists] if lists else sorted({min(LEAST_LISTS << i, upto) for i in range(upto.bit_length())})
+    best: tuple = ()
+    for n in tried:
+        found = centres(sample, n)
+        many = lists_to_probe(sample, found, k)
+        cost = total * many / len(found) + LIST_COST * many + len(found)
+        if not best or cost < best[0]:
+            best = cost, found, many / len(found)
+    return best[1:]
+
+
 def scan(query: np.ndarray, blocks: list[np.ndarray], k: int, skip: int) -> np.ndarray:
     """Candidates that outlive every test, and ``k`` at least, by squared distance of unit vectors.
 
@@ -115,12 +157,13 @@ def nearest(
     k: int = 5,
     key: str = "vec_id",
     vector: str = "embedding",
-    lists: int = LISTS,
-    probed: float = PROBED,
+    lists: int | None = None,
+    probed: float | None = None,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` nearest found of every query row.
 
-    ``is_query`` is a condition on the key, given as column ``vec_id``.
+    ``is_query`` is a condition on the key, given as column ``vec_id``. ``lists`` and ``probed``, the share of
+    lists that are looked into, are measured on the sample where they are not given.
     """
     spark = vectors.sparkSession
     sound = usable(vectors, key, vector)
@@ -128,20 +171,23 @@ def nearest(
     first = sizes.first()
     if first is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size = first["size"]
+    size, total = first["size"], first["n"]
     sound = sound.where(F.size("vector") == size)
     share = F.lit(min(1.0, SAMPLED / first["n"]) * (1 << 20))
-    sampled = sound.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share).select("vector")
+    sampled = sound.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share).select("vec_id", "vector")
     turn = rotation(size)
 
     def fit(group: pa.Table) -> pa.Table:
-        found = centres(_unit(_rows(group.column("vector"))) @ turn, lists)
-        return pa.table({"centre": pa.array(list(found), pa.list_(pa.float64()))})
+        sample = _unit(_rows(group.sort_by("vec_id").column("vector"))) @ turn
+        found, share = fitted_lists(sample, total, k, lists)
+        return pa.table({"centre": pa.array(list(found), pa.list_(pa.float64())), "share": pa.array([share] * len(found))})
 
     rows = (
-        sampled.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "centre array<double>").collect()
-        or [[v] for v in (_unit(np.array([sound.first()["vector"]])) @ turn).tolist()]
+        sampled.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(fit, "centre array<double>, share double").collect()
+        or [[v, 1.0] for v in (_unit(np.array([sound.first()["vector"]])) @ turn).tolist()]
     )
+    if probed is None:
+        probed = rows[0][1]
     fitted = spark.sparkContext.broadcast(np.array([r[0] for r in rows]))
 
     def own_list(near: np.ndarray) -> np.ndarray:
