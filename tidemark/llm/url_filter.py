@@ -8,8 +8,8 @@ and a host is blocked when its distrust is larger than ``threshold`` times its t
 Only DataFrame operations are used. Links are summed to one weighted row for each pair of
 hosts before any iteration; one join and one sum carry both walks a step further, and every
 few steps the ranks are written to the shared folder. The walks go on until no host is new
-to either and the ranks of all hosts together changed by at most ``TOLERANCE`` since they were
-last written, or by rounding alone (``ROUNDING`` of the mass of the seeds), so a chain of
+to either and no rank of a host changed by more than ``TOLERANCE`` of itself since they were
+last written. That is the same number of steps however many seeds and hosts there are; only a chain of
 hosts takes as many steps as it has links. A number of ``steps`` ends them there instead, with
 ranks that may still change. A rank too small for a double is 0. What is kept for a host is two
 numbers, so a host with a third of all pages is one row.
@@ -31,8 +31,8 @@ from tidemark.llm.common import written
 
 #: A rule: verdict, host, path. A list of rules is part of the query and compared one by one.
 Rule = tuple[str, str, str]
-#: Summed change of all ranks over ``settle_every`` steps at which they are settled.
-TOLERANCE, ROUNDING = 1e-6, 1e-12
+#: Change of any rank over ``settle_every`` steps, as a share of it, at which they are settled.
+TOLERANCE = 1e-6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A link to another host inside a page; groups: scheme, host.
 _LINK = r"""(?i)href\s*=\s*["']?([a-z][a-z0-9+.\-]*:)?//([^/?#"'<>\s]+)"""
@@ -77,11 +77,12 @@ def host_links(judged: DataFrame) -> DataFrame:
 
 
 def _change(before: DataFrame, after: DataFrame) -> tuple[float, int]:
-    """Summed change of trust and distrust, and how many ranks are new."""
+    """The largest change of a rank as a share of it, and how many ranks are new."""
     pairs = before.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d")).join(after, "host", "full")
     was_t, was_d, t, d = (F.coalesce(c, F.lit(0.0)) for c in ("t", "d", "trust", "distrust"))
+    share = lambda now, was: F.when(now > 0, F.abs(now - was) / now).otherwise(0.0)
     row = pairs.agg(
-        F.coalesce(F.sum(F.abs(t - was_t) + F.abs(d - was_d)), F.lit(0.0)).alias("change"),
+        F.coalesce(F.max(F.greatest(share(t, was_t), share(d, was_d))), F.lit(0.0)).alias("change"),
         (F.count_if((t > 0) & (was_t == 0)) + F.count_if((d > 0) & (was_d == 0))).alias("new"),
     ).first()
     return row["change"], row["new"]
@@ -106,7 +107,6 @@ def propagate(
     if edges.isEmpty():
         return seeds
     start = seeds.select("host", ((1 - damping) * F.col("trust")).alias("trust"), ((1 - damping) * F.col("distrust")).alias("distrust"))
-    mass = seeds.agg(F.coalesce(F.sum(F.col("trust") + F.col("distrust")), F.lit(0.0))).first()[0]
     ranks = settled = seeds
     for step in count(1):
         moved = edges.join(ranks.withColumnRenamed("host", "source"), "source").select(
@@ -125,7 +125,7 @@ def propagate(
             ranks = written(ranks, "host-ranks")
             if steps is None:
                 change, new = _change(settled, ranks)
-                if not new and change <= max(TOLERANCE, ROUNDING * mass):
+                if not new and change <= TOLERANCE:
                     break
                 settled = ranks
     return ranks
