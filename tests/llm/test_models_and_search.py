@@ -14,7 +14,7 @@ from tidemark.llm import license_scan as ls
 from tidemark.llm import neighbours as nb
 from tidemark.llm import quality as ql
 from tidemark.llm.byte_gru import WIDTH, ByteGru, windows_of
-from tidemark.llm.queries import LICENSE_NOTICES, QUERIES, SIBLING_NOTICES, URL_RULES
+from tidemark.llm.queries import LICENSE_NOTICES, QUERIES, SIBLING_NOTICES, URL_RULES, _sql_licenses
 from tidemark.llm.url_filter import judge_urls
 
 # language ID
@@ -160,6 +160,24 @@ def test_recall_at_the_production_share(spark, sf_small):
     assert hits >= 0.9 * 5 * (ids % 50 == 0).sum()
 
 
+def test_lists_and_share_follow_the_data(spark):
+    """Vectors in clusters get more lists than vectors without structure, of which few are looked into."""
+    rng = np.random.default_rng(6)
+    loose = nb._unit(rng.normal(size=(6000, 32)))
+    tight = nb._unit(rng.normal(size=(400, 32))[rng.integers(0, 400, 40_000)] + 0.1 * rng.normal(size=(40_000, 32)))
+    found, share = nb.fitted_lists(loose, 1_000_000, 5, None)
+    assert len(found) <= 375 and share > 0.3
+    many, small = nb.fitted_lists(tight[:16_384], 40_000, 5, None)
+    assert len(many) > nb.LEAST_LISTS and small < 0.1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(tight[:4000])], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nb.nearest(frame, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    ids = np.arange(4000)
+    hits = sum(len(got[q] & {v for v, _ in brute_nearest(ids, tight[:4000], q, 5)}) for q in range(0, 4000, 50))
+    assert hits >= 0.9 * 5 * 80
+
+
 @pytest.mark.parametrize("n", [4, 5, 6, 7])
 def test_few_vectors_have_all_neighbours(spark, n):
     x = np.random.default_rng(n).normal(size=(n, 24))
@@ -174,7 +192,7 @@ def test_hot_copies_at_the_production_share(spark):
     x = np.random.default_rng(4).normal(size=(600, 24)).astype(np.float32).astype(np.float64)
     x[200:400] = x[200]
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    assert len(np.unique((unit @ nb.centres(unit, nb.LISTS).T).argmax(axis=1))) == nb.LISTS
+    assert len(np.unique((unit @ nb.centres(unit, nb.LEAST_LISTS).T).argmax(axis=1))) == nb.LEAST_LISTS
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {}
     for r in nb.nearest(frame, F.col("vec_id") % 10 == 0).collect():
@@ -318,5 +336,12 @@ def test_sibling_licences(spark):
     got = {}
     for r in ls.find_licenses(docs, notices).collect():
         got.setdefault(r.doc_id, set()).add(r.license)
+    import duckdb  # the registered SQL knows the same siblings
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE seeded (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO seeded VALUES (?, ?)", [(i, t) for i, (_, t) in enumerate(texts)])
+    told = {i: set(x.split(",")) for i, x, _, _ in con.execute(_sql_licenses("seeded")).fetchall()}
+    assert [(t, told[i], got.get(i)) for i, (_, t) in enumerate(texts) if told[i] != got.get(i)] == []
     assert got.pop(-1) == {n for n, _ in notices}
     assert [(t, got.get(i)) for i, (want, t) in enumerate(texts) if got.get(i) != want] == []

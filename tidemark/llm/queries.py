@@ -196,25 +196,29 @@ SIBLING_NOTICES = [
 ]
 
 
-def _sql_licenses() -> str:
-    """By brute force: containment of every template in every window of its scale.
-
-    Of the notices above only, each for itself: it does not know siblings and differs on texts that have them.
-    """
-    names = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(LICENSE_NOTICES))
+def _sql_licenses(documents: str = "documents") -> str:
+    """By brute force: every notice in every window of its scale, where its match lies, and what no sibling beats there."""
+    notices = LICENSE_NOTICES + SIBLING_NOTICES
+    names = ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(notices))
     words = "list_filter(regexp_split_to_array(lower(coalesce({t}, '')), '[^a-z0-9]+'), lambda x: x <> '')"
     return f"""WITH t AS (SELECT t, license, {words.format(t="text")} AS w FROM (VALUES {names}) v(t, license, text)),
-ts AS (SELECT DISTINCT t, license, s, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM
-  (SELECT t, license, w, CASE WHEN len(w) <= 6 THEN 6 WHEN len(w) <= 12 THEN 12 WHEN len(w) <= 24 THEN 24 ELSE 48 END AS s,
-    unnest(range(1, len(w) - 1)) AS i FROM t)),
-tn AS (SELECT t, count(*) AS n FROM ts GROUP BY 1),
-d AS (SELECT doc_id, {words.format(t="text")} AS w FROM documents),
+ti AS (SELECT t, license, CASE WHEN len(w) <= 6 THEN 6 WHEN len(w) <= 12 THEN 12 WHEN len(w) <= 24 THEN 24 ELSE 48 END AS s,
+  i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT t, license, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+tf AS (SELECT t, license, s, g, min(i) AS i FROM ti GROUP BY t, license, s, g),
+ts AS (SELECT t, license, s, g, row_number() OVER (PARTITION BY t ORDER BY i) AS idx, count(*) OVER (PARTITION BY t) AS whole FROM tf),
+d AS (SELECT doc_id, {words.format(t="text")} AS w FROM {documents}),
 ds AS (SELECT doc_id, i - 1 AS p, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
-h AS (SELECT doc_id, t, license, s, p, ds.g, unnest(range(greatest(0, CAST(ceil((p - (s + s // 2 - 3) + 1) / (s // 2)) AS BIGINT)), p // (s // 2) + 1)) AS k
+h AS (SELECT doc_id, t, license, whole, p, ds.g, p - idx AS shift, unnest(range(greatest(0, CAST(ceil((p - (s + s // 2 - 3) + 1) / (s // 2)) AS BIGINT)), p // (s // 2) + 1)) AS k
   FROM ds JOIN ts ON ds.g = ts.g),
-c AS (SELECT doc_id, t, license, k, count(DISTINCT g) AS n FROM h GROUP BY ALL),
-f AS (SELECT doc_id, license, max(c.n / tn.n) AS best FROM c JOIN tn USING (t) WHERE c.n / tn.n >= 0.8 GROUP BY 1, 2)
+c AS (SELECT doc_id, t, license, whole, k, count(DISTINCT g) / whole AS containment FROM h GROUP BY doc_id, t, license, whole, k HAVING count(DISTINCT g) / whole >= 0.8),
+r AS (SELECT doc_id, t, k, shift, whole, count(DISTINCT g) AS found, list(p ORDER BY p) AS places FROM (
+  SELECT DISTINCT x.doc_id, x.t, x.k, x.shift, y.whole, y.g, y.p FROM c JOIN h x USING (doc_id, t, k) JOIN h y ON x.doc_id = y.doc_id AND x.t = y.t AND x.k = y.k
+  AND y.shift BETWEEN x.shift AND x.shift + x.whole // 4) GROUP BY doc_id, t, k, shift, whole),
+l AS (SELECT doc_id, t, k, 2 * found - whole AS lead, places FROM r QUALIFY row_number() OVER (PARTITION BY doc_id, t, k ORDER BY found DESC, shift) = 1),
+m AS (SELECT DISTINCT doc_id, license, k, t, containment, lead, places FROM c JOIN l USING (doc_id, t, k)),
+f AS (SELECT doc_id, license, max(containment) AS best FROM m x WHERE NOT EXISTS (SELECT 1 FROM m y WHERE y.doc_id = x.doc_id AND y.license <> x.license
+  AND (y.lead > x.lead OR (y.lead = x.lead AND y.containment > x.containment)) AND 2 * len(list_intersect(x.places, y.places)) >= least(len(x.places), len(y.places))) GROUP BY 1, 2)
 SELECT d.doc_id, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses, count(license)::BIGINT AS n_licenses,
   coalesce(max(best), 0)::DOUBLE AS containment FROM d LEFT JOIN f USING (doc_id) GROUP BY 1"""
 
