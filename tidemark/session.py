@@ -59,3 +59,18 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this session has written to the shared folder: settled tables, levels, indexes, stream state.
+
+    The session's checkpoint folder is its own, so other sessions lose nothing. DataFrames that still read
+    from it cannot be used afterwards; call it when results are stored.
+    """
+    folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(path):
+        files.delete(entry.getPath(), True)
