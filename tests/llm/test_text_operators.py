@@ -359,3 +359,9 @@ def test_connected_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if k != v}
+
+
+def test_other_vocabularies_are_refused():
+    for name in ("word_bpe_49k.json", "piece_bpe_32k.model"):
+        with pytest.raises(ValueError):
+            splitter(name)

@@ -7,11 +7,14 @@ list of bounded length, travel to every task with their piece counts: that joins
 keys where the texts are read and leaves the shuffled join the rare ones, which are spread
 evenly. The sample only decides where a pre-token is joined, never whether it counts.
 
-Null and empty texts have no tokens. Repeated rows are counted each for itself.
+Null and empty texts have no tokens. Repeated rows are counted each for itself, an empty table gives no rows, and
+texts are counted whole, however long. Other columns than doc_id and text are left out, whatever their names. A vocabulary
+that splits texts in another way than byte-level pre-tokens is refused.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,12 +32,26 @@ _LATIN = re.compile("[\n\r\t\x20-\x7e¡-©«-±´¶-¸»¿-ɏ‐-•…]*")
 _PRETOKEN = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\\s+(?!\\S)|\\s+"
 )
-#: Most frequent pre-tokens of the sample that are joined where texts are read.
-FREQUENT = 250_000
+#: Most frequent pre-tokens of the sample that are joined where texts are read, and their greatest length: what is
+#: sent holds at most ``FREQUENT * LONGEST`` characters.
+FREQUENT, LONGEST = 250_000, 64
 #: Documents of the sample, about.
 SAMPLED = 12_000
 
 
+def _refuse_others(vocabulary: str, path: str) -> None:
+    """An error for a vocabulary that does not split texts as this module does: its counts would be wrong."""
+    if not path.endswith(".json"):
+        raise ValueError(f"no vocabulary of byte-level pre-tokens: {vocabulary}")
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    before, model = parts.get("pre_tokenizer") or {}, parts.get("model") or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    special = [t["content"] for t in parts.get("added_tokens") or []]
+    if not plain or parts.get("normalizer") or special != [SPECIAL] or model.get("type", "BPE") != "BPE" or model.get("dropout"):
+        raise ValueError(f"this vocabulary splits texts in another way: {vocabulary}")
+
+
 class Splitter:
     """Pre-tokens of a text and pieces of a pre-token, as the tokenizer's own parts give them."""
 
@@ -42,7 +59,9 @@ class Splitter:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        path = public_tokenizers.path(vocabulary)
+        _refuse_others(vocabulary, path)
+        self.tokenizer = Tokenizer.from_file(path)
         self.letters = dict(enumerate(byte_letters()))
 
     def pretokens(self, text: str) -> list[str]:
@@ -100,7 +119,7 @@ def _frequent(texts: DataFrame, vocabulary: str) -> dict[str, int]:
         .mapInArrow(count, "pretoken string, n long")
         .groupBy("pretoken")
         .agg(F.sum("n").alias("n"))
-        .where("n > 1")
+        .where((F.col("n") > 1) & (F.length("pretoken") <= LONGEST))
         .orderBy(F.desc("n"), "pretoken")
         .limit(FREQUENT)
         .select("pretoken")
