@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import arrow_batch, slices, text_bytes, written
+from tidemark.llm.common import arrow_batch, shuffle_partitions, slices, text_bytes, written
 
 #: Free parameters of the score.
 SCALE, SATURATION, LENGTH_PERCENT = 1_000_000_000, 8, 75
@@ -257,7 +257,9 @@ def _search_block(spark: SparkSession, docs, wanted: list[tuple], kind: str, k:
 
     longest_first = [F.desc("length"), F.col("row")]
     numbered = _impacts(counted, documents, terms).withColumn("row", F.monotonically_increasing_id())
-    ordered = numbered.repartitionByRange(*longest_first).sortWithinPartitions(*longest_first).drop("row")
+    # A given number of partitions is not merged, so the search has as many files to share out.
+    ranges = numbered.repartitionByRange(shuffle_partitions(spark), *longest_first)
+    ordered = ranges.sortWithinPartitions(*longest_first).drop("row")
     vectors = written(ordered, "impact-vectors")
     steps = sorted(((r["step"], r["count"]) for r in vectors.groupBy(_octave(F.col("length")).alias("step")).count().collect()), reverse=True)
     cut, sum_ = steps[0][0], 0
