@@ -188,6 +188,8 @@ CONTENT_COLUMNS = [
 ]
 
 # --- fixed values: collection jobs --------------------------------------------------
+#: The field of a returned row that holds its code.
+RETURNED_CODE_FIELD = "股票代码"
 QUARANTINE_ERRORS = [
     "invalid_collection_request", "conflicting_page", "conflicting_limit", "missing_request_pagination",
     "missing_query", "collection_job_period_mismatch", "collection_job_query_hash_mismatch",
@@ -227,6 +229,9 @@ URL_CREDENTIAL_NAMES = [
 ]
 
 # --- fixed values: sensitive text patterns (Java regular expressions) ----------------
+CAMEL_STEP_PATTERN = r"(?<=[a-z0-9])(?=[A-Z])"
+NAME_GAP_PATTERN = r"(?U)[-\s]+"
+URL_BODY_PATTERN = r"""://[^\s"'<>]+"""
 BEARER_PATTERN = r"(?iU)(?<![A-Za-z])bearer[\t ]+[A-Za-z0-9._~+/=-]{16,}(?![A-Za-z0-9._~+/=-])"
 URL_PAIR_PATTERN = r"""(?iU)(?:&amp;|[?&#])([^=&#\s"'<>]+)=([^&#\s"'<>]*)"""
 ABSOLUTE_URL_PATTERN = r"""(?iU)\b[a-z][a-z0-9+.-]*://[^\s"'<>]+"""

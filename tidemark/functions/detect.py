@@ -13,8 +13,8 @@ from tidemark import fixed_values as fixed
 
 def field_key(name: Column) -> Column:
     """camelCase, kebab-case and spaced names as lower snake case."""
-    snake = F.regexp_replace(F.trim(name), r"(?<=[a-z0-9])(?=[A-Z])", "_")
-    return F.lower(F.regexp_replace(snake, r"(?U)[-\s]+", "_"))
+    snake = F.regexp_replace(F.trim(name), fixed.CAMEL_STEP_PATTERN, "_")
+    return F.lower(F.regexp_replace(snake, fixed.NAME_GAP_PATTERN, "_"))
 
 
 def forbidden_field(name: Column) -> Column:
@@ -70,7 +70,7 @@ def has_cookie_header(text: Column) -> Column:
 
 def without_web_urls(text: Column) -> Column:
     """Text with http(s) URLs cut out. Other URLs stay: they are matched first and kept whole."""
-    body = r"""://[^\s"'<>]+"""
+    body = fixed.URL_BODY_PATTERN
     pattern = rf"(?iU)(\b(?!https?://)[a-z][a-z0-9+.-]*{body})|\bhttps?{body}"
     return F.regexp_replace(text, pattern, " $1 ")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.fixed_values import QUARANTINE_ERRORS
+from tidemark.fixed_values import QUARANTINE_ERRORS, RETURNED_CODE_FIELD
 from tidemark.functions.text import digest_id
 from tidemark.session import settle
 
@@ -284,7 +284,7 @@ def import_assessment(collections: DataFrame, responses: DataFrame, members: Dat
 
 
 def assess_collections(
-    collections: DataFrame, plan: DataFrame | None, responses: DataFrame, rows: DataFrame, code: str = "股票代码"
+    collections: DataFrame, plan: DataFrame | None, responses: DataFrame, rows: DataFrame, code: str = RETURNED_CODE_FIELD
 ) -> DataFrame:
     """:func:`import_assessment` with every reason derived from the contract, the plan and the returned rows.
 

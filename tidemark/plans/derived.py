@@ -52,10 +52,9 @@ def part_facts(lineitem: DataFrame) -> DataFrame:
     """Yearly facts of each part, one fetch per return flag, as long rows."""
     price = cents(F.col("l_extendedprice"))
     discount, tax = cents(F.col("l_discount")), cents(F.col("l_tax"))
+    # Grouped by plain numbers; codes and dates are made of the groups.
     grouped = lineitem.groupBy(
-        part_code(F.col("l_partkey")).alias("security_code"),
-        F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).alias("period_end"),
-        F.col("l_returnflag").alias("raw_record_id"),
+        F.col("l_partkey").alias("part"), F.year("l_shipdate").alias("year"), F.col("l_returnflag").alias("raw_record_id")
     ).agg(
         F.sum(price).cast("double").alias("revenue"),
         F.sum(price * (discount - tax)).cast("double").alias("net_income_parent"),
@@ -64,6 +63,9 @@ def part_facts(lineitem: DataFrame) -> DataFrame:
     )
     lag = F.when(F.col("raw_record_id") == "R", 30).otherwise(0)
     fields = ["revenue", "net_income_parent", "net_cash_flow_operating"]
+    grouped = grouped.withColumns(
+        {"security_code": part_code(F.col("part")), "period_end": F.make_date("year", F.lit(12), F.lit(31))}
+    )
     return grouped.select(
         "security_code",
         F.col("security_code").alias("security_name"),
