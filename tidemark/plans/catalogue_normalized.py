@@ -319,7 +319,7 @@ j AS (SELECT DISTINCT p_size AS job FROM part UNION SELECT 1000),
 e AS (SELECT j.job, s.*, ceil(total / 10)::BIGINT AS expected, first = 1 AND last = pages AS contiguous FROM j LEFT JOIN s USING (job)),
 x AS (SELECT *, NOT dup AND contiguous AND pages = expected AS whole, list_filter([CASE WHEN job % 7 = 0 THEN 'collection_job_query_drift' END, CASE WHEN dup THEN 'duplicate_pages' END,
   CASE WHEN dup THEN 'duplicate_security_codes' END, CASE WHEN NOT contiguous THEN 'non_contiguous_pages' END, CASE WHEN total < 20 THEN 'below_minimum_expected_count' END], lambda v: v IS NOT NULL) AS errs FROM e)
-SELECT job::VARCHAR AS job_id, CASE WHEN snapshots IS NULL THEN 'not_started' WHEN job % 7 = 0 OR dup THEN 'quarantined' WHEN whole AND len(errs) = 0 THEN 'complete' ELSE 'partial' END AS status,
+SELECT job::VARCHAR AS job_id, CASE WHEN snapshots IS NULL THEN 'not_started' WHEN job % 7 = 0 OR dup OR total < 20 THEN 'quarantined' WHEN whole AND len(errs) = 0 THEN 'complete' ELSE 'partial' END AS status,
   coalesce(snapshots, 0)::BIGINT AS snapshot_count, coalesce(pages, 0)::BIGINT AS present_page_count, coalesce(returned, 0)::BIGINT AS returned_row_count, coalesce(uniq, 0)::BIGINT AS unique_security_count,
   CASE WHEN snapshots IS NULL THEN 1 WHEN len(errs) = 0 AND contiguous AND NOT whole THEN pages + 1 END::BIGINT AS next_page,
   CASE WHEN snapshots IS NULL THEN '' ELSE array_to_string(list_sort(errs), ',') END AS errors FROM x""",
