@@ -9,7 +9,8 @@ Training takes at most about ``SAMPLED`` documents of every language, chosen by
 whose size is fixed, reach the driver. Prediction reads nothing but the text.
 
 A null text or one without a letter is ``und`` with score 0; so is every text when no
-labelled document is given. Repeated rows are predicted each.
+labelled document is given. Repeated rows are predicted each, a null doc_id like any other; an empty table gives
+no rows. Texts are read whole, however long. Other columns are passed on; those named held_out, lang_pred and score are replaced.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ whose shingles found exceed those missing by more wins over one of another licen
 the one with the better containment. Matches that are equal in both are all kept.
 
 A null text, or one of fewer than three words, has no notice. Notices of repeated rows of
-one ``doc_id`` count for each of them. Extra columns are left out.
+one ``doc_id`` count for each of them, and null is an id like any other. Texts are read whole, however long; an empty table gives
+no rows; other columns than doc_id and text are left out, whatever their names.
 """
 
 from __future__ import annotations

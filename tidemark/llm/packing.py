@@ -9,7 +9,8 @@ sizes, meet on the driver; pieces are ranked in salted groups of a size, so copi
 length do not meet in one task.
 
 Null and empty texts are the end id alone. Repeated rows are packed like any others, as
-rows of one ``doc_id``. An empty table gives no rows.
+rows of one ``doc_id``. An empty table gives no rows. A text of any length is cut into as many pieces as it needs. Other
+columns than doc_id and text are left out, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ posteriors from at most about ``SAMPLED`` documents and scores all documents; it
 texts and no votes, so it also judges what every heuristic abstains on.
 
 No given label is read. A null text or one without words scores 0. Repeated rows are scored
-each; an empty table gives no rows; extra columns are left out.
+each, a null doc_id like any other; an empty table gives no rows; texts are read whole, however long; other columns are left
+out, whatever their names.
 """
 
 from __future__ import annotations
