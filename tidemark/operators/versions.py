@@ -149,11 +149,16 @@ def merge_duplicates(
 
 
 def duplicate_text(df: DataFrame, key: str, text: str, order: Sequence[str | Column]) -> DataFrame:
-    """One row per distinct text: the first key, the number of copies."""
-    return df.groupBy(text).agg(
-        F.min_by(F.col(key), F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])).alias(key),
-        F.count(F.lit(1)).alias("copies"),
-    )
+    """One row per distinct text: its SHA-256, the first key, the number of copies.
+
+    Texts are told apart by digest and length, so what is shuffled is narrow however long they are;
+    null texts are one row with a null digest.
+    """
+    first = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+    told = df.select(F.sha2(text, 256).alias("text_sha256"), F.octet_length(text).alias("__size"), key, first.alias("__first"))
+    return told.groupBy("text_sha256", "__size").agg(
+        F.min_by(key, "__first").alias(key), F.count(F.lit(1)).alias("copies")
+    ).drop("__size")
 
 
 def latest_quote(

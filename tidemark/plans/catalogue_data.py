@@ -187,8 +187,7 @@ def doc_scan(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT sha256(text) AS text_sha256, min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text",
 )
 def duplicate_texts(spark: SparkSession, folder: str) -> DataFrame:
-    found = v.duplicate_text(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text", ["doc_id"])
-    return found.select(F.sha2("text", 256).alias("text_sha256"), "doc_id", "copies")
+    return v.duplicate_text(table(spark, folder, "documents"), "doc_id", "text", ["doc_id"])
 
 
 # --- keys and references ------------------------------------------------------------
