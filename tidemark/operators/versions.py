@@ -39,8 +39,9 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], new
     kinds = {f.name: f.dataType for f in df.schema.fields}
     if all(_orderable(kinds[c]) for c in rest):
         # The order holds every column, so its extreme is the row: one struct to compare and to carry.
-        extreme, named = (F.max if newest else F.min), [o for o in order if isinstance(o, str)]
-        held = {c: f"o{order.index(c)}" if c in named else f"r_{c}" for c in rest}
+        extreme = F.max if newest else F.min
+        place = {o: f"o{i}" for i, o in enumerate(order) if isinstance(o, str)}
+        held = {c: place.get(c, f"r_{c}") for c in rest}
         picked = df.groupBy(*keys).agg(extreme(_ordering(df, order, keys)).alias("__row"))
         return picked.select(*keys, *[F.col(f"__row.{held[c]}").alias(c) for c in rest]).select(*df.columns)
     chooser = F.max_by if newest else F.min_by

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
+from tidemark.functions import names as nm
 from tidemark.operators import content as ct
 from tidemark.operators import coverage as cv
 from tidemark.operators import jobs as jb
+from tidemark.operators import metrics as mx
 from tidemark.operators import quality as qa
 from tidemark.operators import scan
-from tidemark.plans import marts
+from tidemark.plans import derived, marts
 from tidemark.plans.registry import register, table
 
 
@@ -283,3 +285,114 @@ def seeded_scan(spark: SparkSession, folder: str) -> DataFrame:
     seed = F.element_at(F.array(*[F.lit(text) for _, text in SEEDS]), (F.col("doc_id") % len(SEEDS)).cast("int") + 1)
     docs = table(spark, folder, "documents").select("doc_id", F.concat("text", F.lit("\n"), seed).alias("text"))
     return scan.scan_text(docs, ["doc_id"], "text")
+
+
+# --- metrics ------------------------------------------------------------------------
+def _metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return mx.ratio_metrics(derived.part_facts(table(spark, folder, "lineitem")))
+
+
+_SQL_INPUTS = f"""WITH {derived.SQL_FACTS},
+defs(metric_name, role, field) AS (VALUES ('net_profit_margin', 'numerator', 'net_income_parent'), ('net_profit_margin', 'denominator', 'revenue'),
+  ('operating_profit_margin', 'numerator', 'operating_profit'), ('operating_profit_margin', 'denominator', 'revenue'),
+  ('liability_to_assets', 'numerator', 'total_liabilities'), ('liability_to_assets', 'denominator', 'total_assets'),
+  ('operating_cash_to_net_income', 'numerator', 'net_cash_flow_operating'), ('operating_cash_to_net_income', 'denominator', 'net_income_parent'),
+  ('operating_cash_flow_margin', 'numerator', 'net_cash_flow_operating'), ('operating_cash_flow_margin', 'denominator', 'revenue')),
+i AS (SELECT code, period_end, rec, metric_name, role, field, CASE field WHEN 'net_income_parent' THEN net_income WHEN 'revenue' THEN revenue WHEN 'net_cash_flow_operating' THEN cash END AS value,
+  CASE WHEN field IN ('operating_profit', 'total_liabilities', 'total_assets') THEN 'fact_not_available' WHEN field = 'net_cash_flow_operating' AND cash IS NULL THEN 'missing_in_source' ELSE 'present' END AS value_status FROM facts, defs)"""
+
+
+@register(
+    "metric_lineage",
+    _SQL_INPUTS
+    + """ SELECT metric_name, role, field AS canonical_field_name, value_status, count(*) AS records, coalesce(sum(value::DECIMAL(38,0)), 0)::DOUBLE AS total,
+  count(*) FILTER (WHERE value_status <> 'fact_not_available' AND rec = 'R') AS from_returns FROM i GROUP BY 1, 2, 3, 4""",
+)
+def metric_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """The inputs that metrics name, counted and summed by role, field and status."""
+    inputs = _metrics(spark, folder).select("metric_name", F.inline("input_facts"))
+    return inputs.groupBy("metric_name", "role", "canonical_field_name", "value_status").agg(
+        F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(F.col("value").cast("decimal(28,0)")), F.lit(0)).cast("double").alias("total"),
+        F.count_if(F.col("raw_record_id") == "R").alias("from_returns"),
+    )
+
+
+@register(
+    "metric_status",
+    _SQL_INPUTS
+    + """, p AS (SELECT code, period_end, metric_name, max(value) FILTER (WHERE role = 'numerator') AS n, max(value) FILTER (WHERE role = 'denominator') AS d FROM i GROUP BY 1, 2, 3)
+SELECT metric_name, CASE WHEN n IS NULL OR d IS NULL THEN 'missing_inputs' WHEN d = 0 THEN 'zero_denominator' ELSE 'calculated' END AS calculation_status, count(*) AS record_count FROM p GROUP BY 1, 2""",
+)
+def metric_status(spark: SparkSession, folder: str) -> DataFrame:
+    return mx.status_histogram(_metrics(spark, folder))
+
+
+# --- bundles, families, feeds -------------------------------------------------------
+@register(
+    "period_gaps",
+    """WITH c AS (SELECT date_trunc('month', o_orderdate)::DATE AS bundle, year(o_orderdate)::INTEGER AS period, count(DISTINCT o_custkey) AS n FROM orders GROUP BY 1, 2),
+b AS (SELECT period, max(n) AS n FROM c GROUP BY 1), limits AS (SELECT max(n) AS top FROM c)
+SELECT r.period FROM (SELECT range::INTEGER AS period FROM range(1990, 2006)) r ANTI JOIN (SELECT period FROM b, limits WHERE n >= top - 1) g USING (period)""",
+)
+def period_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Required years whose best monthly bundle has fewer customers than the best of all, less one."""
+    orders = table(spark, folder, "orders")
+    counts = orders.groupBy(F.trunc("o_orderdate", "month").alias("bundle"), F.year("o_orderdate").alias("period")).agg(F.countDistinct("o_custkey").alias("n"))
+    best = cv.best_bundle(counts, ["period"], "bundle", "n")
+    most = best.agg(F.max("n")).first()[0] or 0
+    required = spark.range(1990, 2006).select(F.col("id").cast("int").alias("period"))
+    return cv.period_gaps(best, required, "period", "n", most - 1)
+
+
+@register(
+    "index_families",
+    """WITH f AS (SELECT CASE p_size % 5 WHEN 0 THEN 'nasdaq_100' WHEN 1 THEN 'sp_500' WHEN 2 THEN 'nasdaq_100' END AS family FROM part)
+SELECT n AS family, count(f.family) AS fund_count FROM (VALUES ('nasdaq_100'), ('sp_500'), ('none_such')) v(n) LEFT JOIN f ON f.family = n GROUP BY 1""",
+)
+def index_families(spark: SparkSession, folder: str) -> DataFrame:
+    """Funds of each index family, with a row for families that have none; of two families in a name the first counts."""
+    size = F.col("p_size") % 5
+    tracked = F.when(size == 0, F.lit("the Nasdaq-100 index")).when(size == 1, F.lit("s & p 500")).when(size == 2, F.lit("标普500 和 纳指100")).when(size == 3, F.lit("  "))
+    families = table(spark, folder, "part").select(nm.index_family(tracked).alias("family"))
+    counted = families.where(F.col("family").isNotNull()).groupBy("family").agg(F.count(F.lit(1)).alias("fund_count"))
+    return cv.filled_counts(counted, ["nasdaq_100", "sp_500", "none_such"], "family", "fund_count")
+
+
+@register(
+    "latest_run",
+    """WITH r AS (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN ts END AS finished, CASE WHEN event_id % 3 < 2 THEN ts - INTERVAL 1 HOUR END AS started, ts::DATE AS day FROM events)
+SELECT user_id, event_id FROM r QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY coalesce(finished, started, day::TIMESTAMP) DESC, event_id::VARCHAR DESC) = 1""",
+)
+def latest_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest run of each user by finish, else start, else the day of its path."""
+    k = F.col("event_id")
+    runs = table(spark, folder, "events").select(
+        "user_id", k.alias("event_id"), k.cast("string").alias("run_id"), F.when(k % 3 == 0, F.col("ts").cast("timestamp")).alias("finished_at"),
+        F.when(k % 3 < 2, F.col("ts").cast("timestamp") - F.expr("INTERVAL 1 HOUR")).alias("started_at"), F.to_date("ts").alias("path_date"), F.lit("p").alias("path"),
+    )
+    return cv.latest_run(runs, ["user_id"]).select("user_id", "event_id")
+
+
+@register(
+    "new_snapshots",
+    """SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders p WHERE p.o_orderstatus = 'F' AND p.o_custkey = o.o_custkey
+  AND (CASE WHEN p.o_orderkey % 4 > 0 THEN p.o_orderpriority END) IS NOT DISTINCT FROM (CASE WHEN o.o_orderkey % 4 > 0 THEN o.o_orderpriority END))""",
+)
+def new_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that no finished order equals in customer and priority, where null equals null."""
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderpriority")).alias("priority"))
+    return jb.new_snapshots(rows, rows.where("o_orderstatus = 'F'"), ["o_custkey", "priority"]).select("o_orderkey")
+
+
+@register(
+    "content_feed",
+    f"""WITH {_SQL_ITEMS}
+SELECT 'news-' || news_id AS id, 'news' AS type, published_at AS date, publisher AS source, NULL AS security_code FROM c
+UNION ALL SELECT 'announcement-' || news_id, 'announcement', published_at, 'news', CASE WHEN source_security_code[1:1] IN ('6', '5') THEN source_security_code || '.SH' ELSE source_security_code || '.SZ' END FROM c
+UNION ALL SELECT 'document-reports/2026/0' || (doc_id % 9 + 1) || '/11/' || doc_id || '.md', 'daily', '2026-0' || (doc_id % 9 + 1) || '-11', 'repository', NULL FROM documents WHERE text IS NOT NULL""",
+)
+def content_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """News, announcements and reports under one schema."""
+    rows, _ = ct.content_table(_items(spark, folder), "news", "news_id", with_publisher=True)
+    frames = [ct.feed_rows(rows, "news", "news_id"), ct.feed_rows(rows.drop("publisher"), "announcement", "news_id"), ct.document_rows(_reports(spark, folder))]
+    return ct.feed(frames).select("id", "type", "date", "source", "security_code")
