@@ -18,7 +18,7 @@ of blocks is one bounded group.
 
 A document with fewer words than a shingle has its whole sequence as one; one without
 words, or a null text, has an empty set and is linked with nothing. ``doc_id`` is the
-key of a document; rows that share one are in one component if any of them is. A document with a null id whose set no other one has
+key of a document; rows that share one get a component each for their own set, and these may be joined. A document with a null id whose set no other one has
 is in no component (component_id and kept are null); a copy of another document is in that one's. Texts of any length are compared
 whole; other columns are left out, whatever their names. An empty table gives no rows.
 """
