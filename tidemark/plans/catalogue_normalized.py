@@ -257,7 +257,9 @@ def _holdings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SQL_POSITIONS = f"""{_SQL_QUOTES},
-h AS (SELECT p_partkey AS k, (DATE '2000-01-01' + (p_partkey % 3)::INTEGER)::VARCHAR AS as_of_date, (p_partkey + 600000) || '.SH' AS code, p_size * 100.0 AS quantity, p_retailprice AS cost,
+h AS (SELECT p_partkey AS k, (DATE '2000-01-01' + (p_partkey % 3)::INTEGER)::VARCHAR AS as_of_date,
+  (p_partkey + 600000) || CASE WHEN p_partkey % 2 <> 0 THEN '.SH' WHEN NOT regexp_full_match((p_partkey + 600000)::VARCHAR, '[0-9]{{6}}') THEN ''
+    WHEN left((p_partkey + 600000)::VARCHAR, 1) IN ('6', '5') THEN '.SH' ELSE '.SZ' END AS code, p_size * 100.0 AS quantity, p_retailprice AS cost,
   CASE WHEN p_partkey % 5 = 0 THEN 7.25 END AS old, CASE WHEN p_partkey % 10 = 0 THEN '2030-01-01' WHEN p_partkey % 5 = 0 THEN '1990-01-01' END AS old_date FROM part),
 j AS (SELECT h.*, close IS NOT NULL AND coalesce(trade_date > old_date, true) AS newer, close, trade_date, source FROM h LEFT JOIN l ON l.security_code = h.code),
 v AS (SELECT k, as_of_date, code AS security_code, round(quantity * cost, 2) AS cost_basis, CASE WHEN newer THEN close ELSE old END AS latest_price, CASE WHEN newer THEN trade_date ELSE old_date END AS quote_date,
