@@ -6,7 +6,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import catalogue
+from tidemark.operators import metrics as m
+from tidemark.plans import catalogue, derived
 from tidemark.plans.registry import ORACLES, QUERIES
 
 catalogue.load()
@@ -34,3 +35,30 @@ def test_positions_with_keys_beyond_six_digits_and_the_first_exchange(spark, sf_
     if name == "portfolio_valuation":
         codes = {r[1] for r in got}
         assert {"699998.SH", "700000.SZ", "700001.SH", "999999.SH", "1000000", "1000001.SH"} <= codes
+
+
+def test_rows_of_fetches_give_the_metrics_of_long_rows(spark):
+    """Newer fetches that lack a fact or miss its value, ties of a fetch, and a fetch without any fact."""
+    fetch = "struct<statement_type: string, value: double, value_status: string>"
+    fields = ["revenue", "net_income_parent", "net_cash_flow_operating"]
+    held = lambda v: ("s" if v else "t", v, "present" if v is not None else "missing_in_source")
+    rows = [
+        ("A", "a1", "2025-12-31", "FY", "f1", "v1", 1, "r1", held(10.0), held(2.0), held(3.0)),
+        ("A", "a2", "2025-12-31", "FY", "f2", "v2", 2, "r1", None, held(None), held(5.0)),
+        ("A", "a3", "2025-12-31", "FY", "f3", "v3", 2, "r1", held(0.0), None, None),
+        ("A", "a4", "2025-12-31", "FY", "f4", "v4", 9, "r9", None, None, None),
+        ("B", "b1", "2025-12-31", "FY", "f1", "v1", 1, "r2", held(4.0), held(float("nan")), None),
+        ("C", "c1", "2025-12-31", "FY", "f1", "v1", 1, "r2", None, None, None),
+    ]
+    names = "security_code string, security_name string, period_end string, report_type string, filing_date string, available_from string, fetched_at int, raw_record_id string"
+    fetches = spark.createDataFrame(rows, ", ".join([names, *[f"{f} {fetch}" for f in fields]]))
+    packed = F.array_compact(F.array(*[F.when(F.col(f).isNotNull(), F.struct(F.lit(f).alias("canonical_field_name"), F.col(f).alias("fact"))) for f in fields]))
+    long = fetches.select(*[n.split(" ")[0] for n in names.split(", ")], F.inline(packed)).select("*", "fact.*").drop("fact")
+    got, want = (sorted(map(repr, m.ratio_metrics(f).collect())) for f in (fetches, long))
+    assert got == want and len(got) == 10
+
+
+def test_facts_of_parts_are_combined_one_row_for_each_fetch(spark, sf_small):
+    lines = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    fetches = lines.select("l_partkey", F.year("l_shipdate"), "l_returnflag").distinct().count()
+    assert derived.part_facts(lines).count() == fetches

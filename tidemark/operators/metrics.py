@@ -1,6 +1,6 @@
 """Metrics over long facts: configured ratios, growth, returns and cash flow.
 
-Facts are long rows (one per security, period, field and fetch). The version choice and
+Facts are long rows (one per security, period, field and fetch) or rows of whole fetches. The version choice and
 the pivot happen in one aggregation on (security, period): each needed field keeps the
 newest fetch as it is combined, so facts are shuffled once, after map-side combining.
 """
@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.fixed_values import DEBT_ITEMS, METRIC_DEFINITION_VERSION, RATIO_METRICS
 from tidemark.functions.coerce import finite
@@ -21,34 +22,52 @@ KEYS = ["security_code", "period_end"]
 CALCULATED = "calculated"
 
 
+def _held_fields(facts: DataFrame) -> list[str]:
+    """The columns of a table of fetches that are facts: structs with a value status."""
+    structs = [f for f in facts.schema.fields if isinstance(f.dataType, StructType)]
+    return [f.name for f in structs if "value_status" in f.dataType.names]
+
+
 def latest_wide(facts: DataFrame, fields: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per (security, period): per field its newest fact, plus an identity struct.
 
+    ``facts`` are long rows, one per fact, or one row per fetch of a report. A fetch has a column
+    per field, a struct (statement_type, value, value_status), null where it has no such fact; such rows are sorted
+    and combined as they are, and never opened into one row per fact.
+
     A field column is null when no fact exists, and has a null ``value`` when the newest
     fact is missing in the source. The identity comes from the newest fetch of the
     report, with the smallest (statement, field) as tie-break.
     """
     newest = F.struct("fetched_at", "raw_record_id")
+    if "canonical_field_name" in facts.columns:
+        found = {f: (F.col("canonical_field_name") == f, F.col("value"), F.col("value_status")) for f in fields}
+        place = [F.col("statement_type"), F.col("canonical_field_name")]
+    else:
+        held = _held_fields(facts)
+        found = {f: (F.col(f).isNotNull(), F.col(f)["value"], F.col(f)["value_status"]) for f in held}
+        none = (F.lit(False), F.lit(None).cast("double"), F.lit(None).cast("string"))
+        found = {f: found.get(f, none) for f in fields}
+        marks = [F.when(F.col(f).isNotNull(), F.struct(F.col(f)["statement_type"], F.lit(f))) for f in held]
+        place = [F.greatest(*marks) if len(marks) > 1 else marks[0]]
+        facts = facts.where(reduce(lambda a, b: a | b, [F.col(f).isNotNull() for f in held]))
     per_field = [
         F.max(
             F.when(
-                F.col("canonical_field_name") == f,
+                there,
                 F.struct(
                     F.col("fetched_at"),
                     F.col("raw_record_id"),
-                    F.when(F.col("value_status") == "present", finite(F.col("value"))).alias("value"),
-                    F.col("value_status"),
+                    F.when(status == "present", finite(value)).alias("value"),
+                    status.alias("value_status"),
                     F.col("available_from"),
                 ),
             )
         ).alias(f)
-        for f in fields
+        for f, (there, value, status) in found.items()
     ]
     identity = F.struct("security_name", "report_type", "filing_date", "available_from", "fetched_at")
-    return facts.groupBy(*keys).agg(
-        *per_field,
-        F.max_by(identity, F.struct(newest, F.col("statement_type"), F.col("canonical_field_name"))).alias("identity"),
-    )
+    return facts.groupBy(*keys).agg(*per_field, F.max_by(identity, F.struct(newest, *place)).alias("identity"))
 
 
 def ratio_value(numerator: Column, denominator: Column) -> Column:

@@ -283,11 +283,7 @@ def supplier_facts(lineitem: DataFrame) -> DataFrame:
         "security_code", F.col("security_code").alias("security_name"), "period_end", F.lit("Q").alias("report_type"),
         F.col("fetched_at").alias("filing_date"), F.col("fetched_at").alias("available_from"), "fetched_at",
         F.lit("r").alias("raw_record_id"),
-        F.inline(F.array(*[
-            F.struct(F.lit(f).alias("canonical_field_name"), F.lit("s").alias("statement_type"), F.col(f).alias("value"),
-                     F.when(F.col(f).isNull(), F.lit("missing_in_source")).otherwise(F.lit("present")).alias("value_status"))
-            for f in _FLAGS
-        ])),
+        *[d.fetched_fact(f, "s") for f in _FLAGS],
     )
 
 

@@ -48,8 +48,17 @@ def valuations(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def fetched_fact(field: str, statement: str) -> Column:
+    """A column of amounts as the fact of a fetch; a null amount is missing in the source."""
+    return F.struct(
+        F.lit(statement).alias("statement_type"),
+        F.col(field).alias("value"),
+        F.when(F.col(field).isNull(), F.lit("missing_in_source")).otherwise(F.lit("present")).alias("value_status"),
+    ).alias(field)
+
+
 def part_facts(lineitem: DataFrame) -> DataFrame:
-    """Yearly facts of each part, one fetch per return flag, as long rows."""
+    """Yearly facts of each part, one fetch and one row per return flag."""
     price = cents(F.col("l_extendedprice"))
     discount, tax = cents(F.col("l_discount")), cents(F.col("l_tax"))
     # Grouped by plain numbers; codes and dates are made of the groups.
@@ -66,6 +75,7 @@ def part_facts(lineitem: DataFrame) -> DataFrame:
     grouped = grouped.withColumns(
         {"security_code": part_code(F.col("part")), "period_end": F.make_date("year", F.lit(12), F.lit(31))}
     )
+    statement = lambda f: "cash_flow_statement" if f.startswith("net_cash") else "income_statement"
     return grouped.select(
         "security_code",
         F.col("security_code").alias("security_name"),
@@ -75,19 +85,7 @@ def part_facts(lineitem: DataFrame) -> DataFrame:
         F.date_add("fetched_at", lag).alias("available_from"),
         "fetched_at",
         "raw_record_id",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(f).alias("canonical_field_name"),
-                        F.lit("cash_flow_statement" if f.startswith("net_cash") else "income_statement").alias("statement_type"),
-                        F.col(f).alias("value"),
-                        F.when(F.col(f).isNull(), F.lit("missing_in_source")).otherwise(F.lit("present")).alias("value_status"),
-                    )
-                    for f in fields
-                ]
-            )
-        ),
+        *[fetched_fact(f, statement(f)) for f in fields],
     )
 
 
