@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics as m
+from tidemark.operators import normalize as nz
 from tidemark.plans import catalogue, derived
 from tidemark.plans.registry import ORACLES, QUERIES
 
@@ -62,3 +63,36 @@ def test_facts_of_parts_are_combined_one_row_for_each_fetch(spark, sf_small):
     lines = spark.read.parquet(f"{sf_small}/lineitem.parquet")
     fetches = lines.select("l_partkey", F.year("l_shipdate"), "l_returnflag").distinct().count()
     assert derived.part_facts(lines).count() == fetches
+
+
+def test_what_a_task_combines_depends_on_the_part_not_on_the_table(spark):
+    """Parts of a bounded number of rows; cells are combined where their row is, without another shuffle by row."""
+    rows = spark.range(10_000).withColumnRenamed("id", "row")
+    dealt = nz.spread(rows, ["row"], part_rows=1_000)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 10 and max(sizes) < 1_300
+    assert nz.spread(rows.limit(0), ["row"]).count() == 0
+
+
+def test_reports_with_identity_in_other_cells_and_rows_without_a_report(spark):
+    variant = lambda t: F.try_parse_json(F.concat(F.lit('"'), F.col(t), F.lit('"')))
+    cells = [
+        (1, "security_code", "identity", None, None, "000001.SZ"), (1, "security_name", "identity", None, None, "one"),
+        (1, "revenue", "financial", "2024-12-31", "FY", "5"), (1, "revenue", "financial", "2023-12-31", "FY", "x"),
+        (1, "filing_date", "financial_metadata", "2024-12-31", "2024FY", "20250430"), (1, "report_period_label", "financial_metadata", "2024-12-31", "2024FY", "2024年年报"),
+        (2, "security_code", "identity", None, None, "000002.SZ"),  # a row without any report
+        (3, "inventory", "financial", "2024-06-30", "H1", ""),  # a report without an identity, not in the source
+    ]
+    names = ["row", "canonical_field_name", "category", "period_end", "report_type", "text"]
+    frame = spark.createDataFrame(cells, "row int, canonical_field_name string, category string, period_end string, report_type string, text string")
+    described = frame.select(
+        *[n for n in names if n != "text"], variant("text").alias("cell"), F.col("canonical_field_name").alias("raw_field_name"),
+        *[F.lit("u").alias(c) for c in ("statement_type", "value_nature", "unit", "confidence", "query_group", "raw_record_id")],
+        F.lit("2030-01-01 00:00:00").cast("timestamp").alias("fetched_at"),
+    )
+    found = nz.financial_tables(described, ["row"])
+    held = {k: sorted((r.row, r.security_code or "-", r.period_end) for r in f.collect()) for k, f in found.items()}
+    assert held["missing"] == [(3, "-", "2024-06-30")] and held["rejected"] == [(1, "000001.SZ", "2023-12-31")]
+    assert held["reports"] == held["facts"] == [(1, "000001.SZ", "2024-12-31")]
+    plan = found["facts"]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan  # the tables are read, not derived again

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
@@ -20,6 +21,7 @@ from tidemark.functions.coerce import (
     number_rejected,
 )
 from tidemark.functions.names import index_family, report_label_period, report_label_type
+from tidemark.session import settle
 
 _TEXT_LIST = "array<string>"
 
@@ -40,6 +42,19 @@ def cell_list(cell: Column) -> Column:
     return F.when(listed.isNotNull(), membership_list(listed)).otherwise(membership_text(cell_text(cell)))
 
 
+#: Vendor rows of one part: their cells are sorted in one task.
+PART_ROWS = 100_000
+
+
+def spread(rows: DataFrame, keys: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """Vendor rows dealt by ``keys`` into parts of about ``part_rows`` rows.
+
+    A row is opened into tens of cells that are combined again in the task that has the row, so
+    what a task holds depends on the part and not on the size of the table.
+    """
+    return rows.repartition(max(1, math.ceil(rows.count() / part_rows)), *keys)
+
+
 def described_cells(rows: DataFrame, descriptors: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Cells joined to the parsed names of their columns.
 
@@ -212,16 +227,18 @@ def financial_tables(described: DataFrame, keys: Sequence[str]) -> dict[str, Dat
 
     ``described`` are cells with parsed names and the columns fetched_at (timestamp),
     raw_record_id and query_group; one vendor row per ``keys``. Every page column becomes
-    a fact, present or explicitly missing.
+    a fact, present or explicitly missing. Cells of rows that :func:`spread` has dealt by ``keys`` are not
+    shuffled again.
     """
     keys = list(keys)
     text = cell_text(F.col("cell"))
-    identity = described.groupBy(*keys).agg(
-        pick("security_code", text).alias("security_code"), pick("security_name", text).alias("security_name")
-    )
-    financial = described.where(F.col("category").isin("financial", "financial_metadata") & F.col("period_end").isNotNull())
     is_fact = F.col("category") == "financial"
-    grouped = financial.groupBy(*keys, "period_end", "fetched_at", "raw_record_id", "query_group").agg(
+    of_report = F.col("category").isin("financial", "financial_metadata") & F.col("period_end").isNotNull()
+    per_report = described.withColumn("period_end", F.when(of_report, F.col("period_end")))
+    # Cells of no report are a group without a period; it holds the identity of its row.
+    grouped = per_report.groupBy(*keys, "period_end", "fetched_at", "raw_record_id", "query_group").agg(
+        pick("security_code", text).alias("security_code"),
+        pick("security_name", text).alias("security_name"),
         pick("filing_date", text).alias("t_filing_date"),
         pick("report_period_label", text).alias("report_period_label"),
         pick("filing_date", F.col("report_type")).alias("field_report_type"),
@@ -234,7 +251,9 @@ def financial_tables(described: DataFrame, keys: Sequence[str]) -> dict[str, Dat
         F.count_if(is_fact & _present(text)).alias("present_fact_count"),
         F.count_if(is_fact).alias("fact_count"),
     )
-    joined = grouped.join(identity, keys)
+    row = Window.partitionBy(*keys)
+    named = grouped.withColumns({c: F.max(c).over(row) for c in ("security_code", "security_name")})
+    joined = named.where(F.col("period_end").isNotNull())
     absent = (
         ~_present(F.coalesce("t_filing_date", F.lit(""))) & ~_present(F.coalesce("report_period_label", F.lit("")))
         & (F.col("present_fact_count") == 0)
@@ -261,6 +280,7 @@ def financial_tables(described: DataFrame, keys: Sequence[str]) -> dict[str, Dat
             )
         ),
     ).withColumn("available_from", F.col("filing_date"))
+    marked = settle(marked)  # four tables are read from it
     missing = marked.where(F.col("absent")).select(
         *keys, "security_code", "security_name", "period_end", "raw_record_id", F.lit("report_not_present_in_source").alias("reason")
     )

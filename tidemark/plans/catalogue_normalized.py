@@ -16,6 +16,7 @@ from tidemark.operators import portfolio as pf
 from tidemark.operators import quality as qa
 from tidemark.operators import versions as v
 from tidemark.plans.registry import register, table
+from tidemark.session import settle
 
 
 def _choice(number: Column, options: list[Column | str | None]) -> Column:
@@ -125,7 +126,7 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
     ]
     kept = F.array(*[F.when(F.lit(i != 3) | (order % 3 != 0), F.struct(n.alias("key"), F.to_variant_object(F.array(t)).alias("value"))) for i, (n, t) in enumerate(figures)])
     entries = F.transform(F.array_compact(kept), lambda e: F.struct(e["key"], F.variant_get(e["value"], "$[0]", "variant").alias("value")))
-    return table(spark, folder, "orders").select(
+    return nz.spread(table(spark, folder, "orders"), ["o_orderkey"]).select(
         "o_orderkey", F.lit("2030-01-01 00:00:00").cast("timestamp").alias("fetched_at"), (order % 50).cast("string").alias("query_group"),
         order.cast("string").alias("raw_record_id"), F.map_from_entries(entries).alias("entries"),
     )
@@ -134,7 +135,7 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
 def _facts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     pages = _pages(spark, folder)
     names = pages.select(F.explode(F.map_keys("entries")).alias("raw_field_name")).distinct()
-    descriptors = nm.parse_field_names(names, nm.mapping_frame(spark))
+    descriptors = settle(nm.parse_field_names(names, nm.mapping_frame(spark)))  # of a known size, so broadcast if small
     keys = ["o_orderkey", "fetched_at", "raw_record_id", "query_group"]
     return nz.financial_tables(nz.described_cells(pages, descriptors, keys), ["o_orderkey"])
 
