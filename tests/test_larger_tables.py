@@ -6,9 +6,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import detect
 from tidemark.operators import metrics as m
 from tidemark.operators import normalize as nz
 from tidemark.plans import catalogue, derived
+from tidemark.plans.catalogue_published import SEEDS
 from tidemark.plans.registry import ORACLES, QUERIES
 
 catalogue.load()
@@ -96,3 +98,23 @@ def test_reports_with_identity_in_other_cells_and_rows_without_a_report(spark):
     assert held["reports"] == held["facts"] == [(1, "000001.SZ", "2024-12-31")]
     plan = found["facts"]._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Aggregate" not in plan  # the tables are read, not derived again
+
+
+def test_gates_of_detectors_hold_for_every_finding(spark):
+    """Seeds, odd spellings that the patterns' case folding takes, paths and URLs beside each other."""
+    odd = [
+        "BEARER\tabcdefghijklmnop0123", "ba\u017fic dXNlcjpwYXNzd29yZA==", "coo\u212aie: a=b", "author\u0131zation: x", "C:\\x", "c:/x", "\\\\host\\share",
+        "file:///x", "see https://a.b/home/x, /home/y", "https://a.b/home/x", "ftp://u:p@h/data/raw/x", "inbox\\x", "", "plain words: a = b / c",
+    ]
+    texts = [t for _, t in SEEDS] + odd
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    text = F.col("t")
+    marks = frame.select("i", *[F.struct(d(text).alias("found"), detect.GATES[n](text).alias("gate")).alias(n) for n, d in detect.DETECTORS.items()])
+    rows = marks.orderBy("i").collect()
+    assert set(detect.GATES) == set(detect.DETECTORS) and all(r[n].gate or not r[n].found for r in rows for n in detect.GATES)
+    got = [sorted(n for n in detect.GATES if r[n].found) for r in rows]
+    assert got[: len(SEEDS)] == [[n] if n else [] for n, _ in SEEDS]
+    assert got[len(SEEDS) :] == [
+        ["bearer_value"], ["basic_credential"], ["cookie_header"], ["authorization_header"], ["local_path"], ["local_path"], ["local_path"],
+        ["local_path"], ["local_path"], [], ["private_path", "url_userinfo"], ["private_path"], [], [],
+    ]
