@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import detect
+from tidemark.operators import content
 from tidemark.operators import metrics as m
 from tidemark.operators import normalize as nz
 from tidemark.plans import catalogue, derived
@@ -118,3 +119,14 @@ def test_gates_of_detectors_hold_for_every_finding(spark):
         ["bearer_value"], ["basic_credential"], ["cookie_header"], ["authorization_header"], ["local_path"], ["local_path"], ["local_path"],
         ["local_path"], ["local_path"], [], ["private_path", "url_userinfo"], ["private_path"], [], [],
     ]
+
+
+def test_opened_texts_are_read_by_a_stored_mark_not_parsed_again(spark):
+    import json
+
+    deep = "end"
+    for _ in range(9):
+        deep = json.dumps([deep])
+    frame = content.open_texts(spark.createDataFrame([(1, deep), (2, "plain"), (3, None), (4, '["a", "b"]')], "id int, t string"), "t")
+    assert sorted((r.id, r.opened_text) for r in frame.collect()) == [(1, "end"), (2, "plain"), (3, None), (4, "a b")]
+    assert "try_parse_json" not in frame._jdf.queryExecution().optimizedPlan().toString()

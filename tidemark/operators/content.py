@@ -51,15 +51,15 @@ def open_texts(df: DataFrame, text: str, opened: str = "opened_text") -> DataFra
     them; what is open leaves the list, and the loop ends when nothing is left on it. There is no deepest
     level. A row keeps its strings in document order, so nothing is shuffled. A null text stays null.
     """
-    parts = "__parts"
+    parts, more = "__parts", "__more"
     work, done = df.withColumn(parts, F.array(F.trim(text))), []
     while True:
         for _ in range(_LEVELS):
             work = work.withColumn(parts, opened_once(F.col(parts)))
-        work = settle(work)
-        closed = F.exists(parts, is_json)
-        done.append(work.where(~closed))
-        work = work.where(closed)
+        # Whether a text still holds JSON is written beside it: it is parsed for that once a round.
+        work = settle(work.withColumn(more, F.exists(parts, is_json)))
+        done.append(work.where(~F.col(more)).drop(more))
+        work = work.where(more).drop(more)
         if work.isEmpty():
             break
     whole = done[0]
