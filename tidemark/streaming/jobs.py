@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -47,32 +48,65 @@ def first_arrivals(stream: DataFrame, keys: Sequence[str], event_time: str, dela
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Groups of keys. A call of the processor with its accesses to the state costs as much as many rows, so it serves all keys of a group.
+GROUPS = 4096
+
+
 class FirstSeen(StatefulProcessor):
-    """Lets the first row of a key through and remembers the key until its timer fires.
+    """Lets the first row of a key through and remembers the key until a timer finds its time passed.
 
-    The timer stands ``delay_ms`` after the event time of the row let through, so the state holds the keys of
+    The time stands ``delay_ms`` after the event time of the row let through, so the state holds the keys of
     that span only. A repeat before then is dropped, whether it comes in the same batch or in a later one; after then
     the key is new again. Of several rows of one batch the one with the smallest event time, then the
     smallest ``order`` columns, counts as the first.
+
+    A call serves one group of keys, whose state is one value: the keys as text and the time of each. It is read when the group
+    has rows or its earliest time has passed, and written when its keys change.
     """
 
-    def __init__(self, event_time: str, order: list[str], delay_ms: int):
-        self.event_time, self.order, self.delay_ms = event_time, order, delay_ms
+    def __init__(self, schema: StructType, keys: list[str], event_time: str, order: list[str], delay_ms: int):
+        self.names, self.delay_ms = schema.names, delay_ms
+        self.keys = [self.names.index(c) for c in keys]
+        self.time = self.names.index(event_time)
+        self.order = [self.time, *(self.names.index(c) for c in order)]
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "at long")
+        self.seen = handle.getValueState("seen", "members array<string>, until array<long>")
+
+    def member(self, row) -> str:
+        values = (row[i] for i in self.keys)
+        return repr([v.astimezone(timezone.utc) if isinstance(v, datetime) and v.tzinfo else v for v in values])
+
+    def rank(self, row) -> list:
+        return [(row[i] is not None, row[i]) for i in self.order]
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803 (names of the interface)
-        first = min(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in (self.event_time, *self.order)))
-        if not self.seen.exists():
-            until = int(first[self.event_time].timestamp() * 1000) + self.delay_ms
-            self.seen.update((until,))
-            self.handle.registerTimer(until)
-            yield first
+        firsts = {}
+        for row in rows:
+            member = self.member(row)
+            if member not in firsts or self.rank(row) < self.rank(firsts[member]):
+                firsts[member] = row
+        members, until = self.seen.get() or ([], [])
+        for member in members:
+            firsts.pop(member, None)
+        if firsts:
+            fresh = [int(row[self.time].timestamp() * 1000) + self.delay_ms for row in firsts.values()]
+            if not until or min(fresh) < min(until):
+                self.handle.registerTimer(min(fresh))
+            self.seen.update(([*members, *firsts], [*until, *fresh]))
+        shape = Row(*self.names)
+        return iter([shape(*row[: len(self.names)]) for row in firsts.values()])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        self.seen.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        members, until = self.seen.get() or ([], [])
+        kept = [(m, u) for m, u in zip(members, until, strict=True) if u > now]
+        if not kept:
+            self.seen.clear()
+        elif len(kept) < len(members):
+            self.seen.update(tuple(map(list, zip(*kept, strict=True))))
+            self.handle.registerTimer(min(u for _, u in kept))
         return iter([])
 
     def close(self) -> None:
@@ -80,16 +114,19 @@ class FirstSeen(StatefulProcessor):
 
 
 def first_seen(
-    stream: DataFrame, keys: Sequence[str], event_time: str, delay_ms: int, order: Sequence[str] = ()
+    stream: DataFrame, keys: Sequence[str], event_time: str, delay_ms: int, order: Sequence[str] = (), groups: int = GROUPS
 ) -> DataFrame:
     """The first arrival of each key, by state that a timer frees; see :class:`FirstSeen`.
 
     Rows without an event time are left out, and rows older than the watermark (``delay_ms`` behind the newest row) are too late.
-    The session needs the state store ``ROCKSDB``.
+    The session needs the state store ``ROCKSDB``. A hash deals the keys into ``groups``, a number that stays as it is for the life
+    of a checkpoint; with some hundred to some thousand keys in a group, calls are few and a group's state is small.
     """
     stream = stream.where(F.col(event_time).isNotNull()).withWatermark(event_time, f"{delay_ms} milliseconds")
-    return stream.groupBy(*keys).transformWithState(
-        FirstSeen(event_time, list(order), delay_ms), stream.schema, "Append", "EventTime"
+    group = "group" + "_" * max(map(len, stream.columns))
+    grouped = stream.withColumn(group, F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int")).groupBy(group)
+    return grouped.transformWithState(
+        FirstSeen(stream.schema, list(keys), event_time, list(order), delay_ms), stream.schema, "Append", "EventTime"
     )
 
 
